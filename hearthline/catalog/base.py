@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from hearthline.operators.models import LinearFormula
 from hearthline.operators.preprocess import Preprocessing
 from hearthline.operators.scoring import Scorer
 from hearthline.operators.split import stratified_split
+from hearthline.session import tune
 from hearthline.sources.tables import AUDIT_SQL, HOUSES_SQL, LISTINGS_SQL, houses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = functools.wraps(fn)(lambda spark, folder: fn(tune(spark), folder))
         if sql is not None:
             ORACLES[name] = sql
         return fn

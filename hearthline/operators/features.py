@@ -106,6 +106,15 @@ def add_quality_features(df: DataFrame, grades: tuple[float | None, float | None
     return df
 
 
+def top_cities(df: DataFrame, codes: LabelCodes | None = None, k: int = 10) -> list[str]:
+    """The k most frequent cities. Label codes that were counted already serve if no city is missing there."""
+    if "city" not in df.columns:
+        return []
+    if codes is not None and codes.small and codes.table.where(c("value") == S.MISSING_LABEL).isEmpty():
+        return [r["value"] for r in codes.table.orderBy(F.desc("n"), "value").limit(k).collect()]
+    return [r["city"] for r in value_counts_topk(df, "city", k).collect()]
+
+
 def add_place_features(df: DataFrame, cities: list[str]) -> DataFrame:
     """One-hot columns of the fitted cities, and the zip zone."""
     if "city" in df.columns and cities:
@@ -144,12 +153,9 @@ def _projected(df: DataFrame, fit: Engineering) -> DataFrame:
 def fit_engineering(df: DataFrame) -> Engineering:
     """Grade range, top cities, label codes, then the medians of what is derived from them."""
     rows = nan_to_null(df)
-    cities = []
-    if "city" in df.columns:
-        cities = [r["city"] for r in value_counts_topk(rows, "city").collect()]
-    fit = Engineering(grade_range(rows), cities)
     place = add_features(rows, PLACE)
-    fit.codes = {x: fit_label_codes(place, x) for x in S.ENCODED_COLUMNS if x in place.columns}
+    codes = {x: fit_label_codes(place, x) for x in S.ENCODED_COLUMNS if x in place.columns}
+    fit = Engineering(grade_range(rows), top_cities(rows, codes.get("city")), codes)
     fit.medians = fit_engineered_medians(_projected(df, fit))
     return fit
 

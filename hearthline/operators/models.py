@@ -243,37 +243,51 @@ def evaluate(df: DataFrame, model: Model, features: list[str], target: str = S.T
             for r in regression_metrics(scored, ("split",)).collect()}
 
 
-def train_evaluate(
-    name: str, estimator: Estimator, df: DataFrame, features: list[str] = S.FEATURES, target: str = S.TARGET,
-    key: str = "id", k: int = 5,
+def _narrow(df: DataFrame, key: str, target: str, features: list[str]) -> DataFrame:
+    """What training reads, kept: derived splits and scaled features are computed once, not once per pass."""
+    return df.select(*[quoted(c) for c in dict.fromkeys([key, target, "split", *features])]).persist()
+
+
+def _trained(
+    name: str, estimator: Estimator, ready: DataFrame, features: list[str], target: str, key: str, k: int,
 ) -> Trained:
-    """Fit on the train split, measure train and val, cross-validate on train."""
-    train = df.where(F.col("split") == "train")
+    train = ready.where(F.col("split") == "train")
     start = time.monotonic()
     model = fit_model(train, estimator, features)
     seconds = time.monotonic() - start
-    metrics = evaluate(df.where(F.col("split").isin("train", "val")), model, features, target)
+    metrics = evaluate(ready.where(F.col("split").isin("train", "val")), model, features, target)
     cv = cross_validate(train, estimator, features, target, key, k) if k else {}
     params = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
     return Trained(name, model, list(features), metrics, cv, seconds, params)
 
 
+def train_evaluate(
+    name: str, estimator: Estimator, df: DataFrame, features: list[str] = S.FEATURES, target: str = S.TARGET,
+    key: str = "id", k: int = 5,
+) -> Trained:
+    """Fit on the train split, measure train and val, cross-validate on train."""
+    ready = _narrow(df, key, target, features)
+    try:
+        return _trained(name, estimator, ready, features, target, key, k)
+    finally:
+        ready.unpersist()
+
+
 def train_all(
     df: DataFrame, estimators: dict[str, Estimator], features: list[str] = S.FEATURES, target: str = S.TARGET,
     key: str = "id", k: int = 5,
 ) -> dict[str, Trained]:
     """Train every model; one that fails is logged and left out. Folds are assigned once."""
-    columns = list(dict.fromkeys([key, target, "split", *features]))
-    ready = df.select(*[quoted(c) for c in columns])
-    if k:
-        fold = kfold_column(ready.where(F.col("split") == "train"), key, k)
-        ready = ready.withColumn("fold", F.when(F.col("split") == "train", fold))
-    ready = ready.persist()
+    ready = _narrow(df, key, target, features)
     out = {}
     try:
+        folded = ready
+        if k:
+            fold = kfold_column(ready.where(F.col("split") == "train"), key, k)
+            folded = ready.withColumn("fold", F.when(F.col("split") == "train", fold))
         for name, estimator in estimators.items():
             try:
-                out[name] = train_evaluate(name, estimator, ready, features, target, key, k)
+                out[name] = _trained(name, estimator, folded, features, target, key, k)
             except Exception:
                 log.exception("training failed: %s", name)
     finally:

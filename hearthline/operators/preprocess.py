@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions.sqltext import literal_sql, name_sql, present_sql
-from hearthline.operators.quality import fill_constant, numeric_columns, replace_inf, rewritten, select_features
+from hearthline.operators.quality import (
+    fill_constant, finite_sql, floating_columns, numeric_columns, replace_inf, rewritten, select_features,
+)
 from hearthline.operators.ranks import exact_medians, exact_quantiles
 
 FIT_SCHEMA = "feature string, ordinal int, median double, mean double, std_pop double"
@@ -142,7 +144,10 @@ def fit_engineered_medians(df: DataFrame) -> dict[str, float]:
 
 
 def impute_engineered(df: DataFrame, medians: dict[str, float]) -> DataFrame:
-    rows = replace_inf(df)
-    return rewritten(rows, {
-        c: f"coalesce(CAST({name_sql(c)} AS DOUBLE), {literal_sql(m)})" for c, m in medians.items() if c in rows.columns
-    })
+    """Missing and infinite values replaced by the fitted medians; others of them become null."""
+    floats = set(floating_columns(df))
+    made = {c: finite_sql(c) for c in floats}
+    for c, m in medians.items():
+        if c in df.columns:
+            made[c] = f"coalesce(CAST({made.get(c, name_sql(c))} AS DOUBLE), {literal_sql(m)})"
+    return rewritten(df, made)

@@ -96,13 +96,15 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return rewritten(df, {c: present_sql(c, df.schema[c].dataType) for c in floating_columns(df)})
 
 
+def finite_sql(name: str) -> str:
+    """The column with NaN and infinities read as missing; NaN compares above infinity."""
+    x = name_sql(name)
+    return f"(CASE WHEN abs({x}) < double('Infinity') THEN {x} END)"
+
+
 def replace_inf(df: DataFrame) -> DataFrame:
     """Infinite and NaN values of all floating columns read as missing."""
-    def finite(c: str) -> str:
-        x = name_sql(c)
-        return f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('Infinity') THEN {x} END"
-
-    return rewritten(df, {c: finite(c) for c in floating_columns(df)})
+    return rewritten(df, {c: finite_sql(c) for c in floating_columns(df)})
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -124,6 +126,17 @@ def fill_constant(df: DataFrame, fills: dict[str, float] = S.NULL_DEFAULTS) -> D
     return df.fillna({c: v for c, v in fills.items() if c in df.columns})
 
 
+def valid_request(types: dict[str, T.DataType], bounds=S.REQUEST_BOUNDS) -> Column:
+    """Whether a request row keeps all bounds: plain comparisons that a scan can use. Null where a value is missing."""
+    tests = []
+    for name, whole, low, high in bounds:
+        c = name_sql(name)
+        tests.append(f"{c} >= {low} AND {c} <= {high}")
+        if whole and not isinstance(types[name], T.IntegralType):
+            tests.append(f"{c} = floor({c})")
+    return F.expr(" AND ".join(tests))
+
+
 def violations(bounds=S.REQUEST_BOUNDS) -> Column:
     """Why a request row is refused: an array, empty for a valid row."""
     reasons = []
@@ -138,8 +151,9 @@ def violations(bounds=S.REQUEST_BOUNDS) -> Column:
 
 def validate_ranges(df: DataFrame, bounds=S.REQUEST_BOUNDS) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and refused rows with their ``reasons``."""
-    judged = df.withColumn("reasons", violations(bounds))
-    return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
+    valid = valid_request({f.name: f.dataType for f in df.schema.fields}, bounds)
+    refused = df.where(~F.coalesce(valid, F.lit(False)))
+    return df.where(valid), refused.withColumn("reasons", violations(bounds))
 
 
 # -- profiles ------------------------------------------------------------------

@@ -47,9 +47,10 @@ class Found:
 
 @dataclass(eq=False)
 class _Bracket:
-    """An interval (``None`` is unbounded) in which ranks of column ``t<slot>`` are looked for.
+    """An interval (``None`` is unbounded) tried for ranks of column ``t<slot>``.
 
-    ``bound`` is a proven upper limit of the rows strictly inside.
+    The ranks are known to lie strictly between ``floor`` and ``ceiling``: ``start`` rows
+    are at or below the floor, and at most ``bound`` rows lie between the two.
     """
 
     slot: int
@@ -58,8 +59,14 @@ class _Bracket:
     high: Any
     bound: int
     start: int = 0
+    floor: Any = None
+    ceiling: Any = None
     measured: bool = False
 
+    @classmethod
+    def known(cls, slot: int, ranks: list[int], low: Any, high: Any, start: int, end: int) -> _Bracket:
+        return cls(slot, ranks, low, high, end - start, start, low, high, True)
+
 
 def _inside(b: _Bracket) -> str:
     ends = [f"t{b.slot} > {literal_sql(b.low)}"] if b.low is not None else []
@@ -124,7 +131,9 @@ def _search(
             near = min(points[i], key=lambda p: abs(p - max(share - SLACK / accuracy, 0.0)))
             far = min(points[i], key=lambda p: abs(p - min(share + SLACK / accuracy, 1.0)))
             at = dict(zip(points[i], sketch[f"p{i}"]))
-            open_.append(_Bracket(i, ranks, at[near] if near > 0 else None, at[far] if far < 1 else None, t.size))
+            low = at[near] - _room(abs(at[near])) if near > 0 else None
+            high = at[far] + _room(abs(at[far])) if far < 1 else None
+            open_.append(_Bracket(i, ranks, low, high, t.size))
     for _ in range(MAX_ROUNDS):
         if not open_:
             return out
@@ -182,29 +191,48 @@ def _measure(
             else:
                 over.append(r)
         if under:
-            left.append(_Bracket(b.slot, under, None, b.low, lt_low, 0, True))
+            left.append(_Bracket.known(b.slot, under, b.floor, b.low, b.start, lt_low))
         if inner:
-            left.append(_Bracket(b.slot, inner, b.low, b.high, lt_high - le_low, le_low, True))
+            left.append(_Bracket.known(b.slot, inner, b.low, b.high, le_low, lt_high))
         if over:
-            left.append(_Bracket(b.slot, over, b.high, None, size - le_high, le_high, True))
+            left.append(_Bracket.known(b.slot, over, b.high, b.ceiling, le_high, b.start + b.bound))
     return left
 
 
 def _narrow(frame: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """Move the ends of wide brackets inwards by a sketch of the rows inside."""
+    """Move the ends of wide brackets inwards by a sketch of the rows inside.
+
+    The sketch works on doubles. Whole numbers are sketched as distances from the lower
+    end, so that their digits count more with every narrowing, and the ends get room
+    for what the doubles round away.
+    """
     if not brackets:
         return
     sketches, wanted = [], []
     for j, b in enumerate(brackets):
         first, last = ((r - b.start) / b.bound for r in (b.ranks[0], b.ranks[-1]))
         points = [max(first - SLACK / accuracy, 0.0), min(last + SLACK / accuracy, 1.0)]
-        wanted.append(points)
-        sketches.append(_sketch(f"CASE WHEN {_inside(b)} THEN t{b.slot} END", points, accuracy, f"p{j}"))
+        base = b.low if _spans(b) else 0
+        wanted.append((points, base))
+        value = f"t{b.slot} - {literal_sql(base)}" if base else f"t{b.slot}"
+        sketches.append(_sketch(f"CASE WHEN {_inside(b)} THEN {value} END", points, accuracy, f"p{j}"))
+        sketches += [f"{f}(CASE WHEN {_inside(b)} THEN t{b.slot} END) AS {f}{j}" for f in ("min", "max")]
     row = frame.selectExpr(*sketches).first()
-    for j, (b, points) in enumerate(zip(brackets, wanted)):
+    for j, (b, (points, base)) in enumerate(zip(brackets, wanted)):
         low, high = row[f"p{j}"]
-        b.low = low if points[0] > 0 else b.low
-        b.high = high if points[1] < 1 else b.high
+        room = _room(b.high - base if _spans(b) else max(abs(low), abs(high)))
+        b.low = max(row[f"min{j}"], low + base - room) if points[0] > 0 else row[f"min{j}"]
+        b.high = min(row[f"max{j}"], high + base + room) if points[1] < 1 else row[f"max{j}"]
+
+
+def _spans(b: _Bracket) -> bool:
+    """Whole-number ends whose distance fits a long."""
+    return isinstance(b.low, int) and isinstance(b.high, int) and b.high - b.low < 2**63
+
+
+def _room(size: int | float) -> int:
+    """How far a whole number of this size may move when it passes through a double."""
+    return size >> 52 if isinstance(size, int) else 0
 
 
 def exact_quantiles(

@@ -12,7 +12,7 @@ from hearthline import schema as S
 from hearthline.functions.columns import confidence, quoted
 from hearthline.operators.models import LinearFormula, predict
 from hearthline.operators.preprocess import Preprocessing, add_missing_features, imputed_sql, scaled_sql
-from hearthline.operators.quality import fill_constant, validate_ranges, violations
+from hearthline.operators.quality import fill_constant, valid_request, validate_ranges, violations
 
 API_VERSION = "2.0"
 
@@ -105,8 +105,9 @@ def audit_rows(
 
     Without a model it raises before any record is made. One scan serves both kinds.
     """
-    judged = scorer.predictions(requests.withColumn("__reasons", violations()))
-    failed = F.size("__reasons") > 0
+    valid = valid_request({f.name: f.dataType for f in requests.schema.fields})
+    judged = scorer.predictions(requests.withColumn("__failed", ~F.coalesce(valid, F.lit(False))))
+    failed = F.col("__failed")
     return judged.select(prediction_record(
         request_id=F.uuid() if request_id is None else request_id,
         features=feature_map(),
@@ -115,7 +116,7 @@ def audit_rows(
         model=F.lit(scorer.name),
         duration_ms=F.lit(None).cast("double") if duration_ms is None else duration_ms,
         client_ip=F.lit(None).cast("string") if client_ip is None else client_ip,
-        error=F.when(failed, F.array_join("__reasons", "; ")),
+        error=F.when(failed, F.array_join(violations(), "; ")),
         at=at, environment=environment,
     ).alias("record")).select("record.*")
 

@@ -37,3 +37,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+HUGE_METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
+JIT_LIMIT = "8000"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Keep wide projections compiled.
+
+    The JVM runs methods over 8000 bytes of bytecode in its interpreter. With this limit
+    Spark evaluates such a stage operator by operator in small methods instead. A limit
+    set by the user stays.
+    """
+    if spark.conf.get(HUGE_METHOD_CONF) == "65535":
+        spark.conf.set(HUGE_METHOD_CONF, JIT_LIMIT)
+    return spark
