@@ -226,7 +226,7 @@ def _trained_rows(spark, results):
 def _register_fit(name: str, key: str) -> None:
     @query(key)
     def fit(spark, folder):
-        ready = learnable_split(spark, folder)
+        ready = models.training_input(learnable_split(spark, folder))
         estimator = models.build_models_from_config()[name]
         model = models.fit_model(ready.where(F.col("split") == "train"), estimator)
         scored = models.predict(ready, model).select(

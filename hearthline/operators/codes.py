@@ -14,7 +14,6 @@ from hearthline.session import written
 
 BROADCAST_ROWS = 100_000
 HOT_ROWS = 1_000
-SALTS = 1_024
 
 
 @dataclass(frozen=True)
@@ -66,20 +65,16 @@ def lookup_label_codes(
         joined = df.join(table, label == F.col("__value"), "left")
         return joined.withColumn(output, _found(F.col("__code"), label, unseen_is_error)).drop("__value", "__code")
 
-    # Hot values are resolved by a broadcast of fixed size; the rows they resolve are
-    # spread over salts, so the shuffled join sees only the thin values.
-    hot = codes.table.orderBy(F.desc("n"), "value").limit(HOT_ROWS)
-    hot = F.broadcast(hot.select(F.col("value").alias("__hot"), F.col("code").alias("__hot_code")))
-    cold = codes.table.select(F.concat(F.lit("="), F.col("value")).alias("__value"), F.col("code").alias("__code"))
-    spread = F.concat(F.lit("#"), F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SALTS)).cast("string"))
-    left = df.join(hot, label == F.col("__hot"), "left").withColumn(
-        "__key", F.when(F.col("__hot_code").isNull(), F.concat(F.lit("="), label)).otherwise(spread))
-    code = F.coalesce(F.col("__hot_code"), F.col("__code"))
-    return (
-        left.join(cold, F.col("__key") == F.col("__value"), "left")
-        .withColumn(output, _found(code, label, unseen_is_error))
-        .drop("__hot", "__hot_code", "__key", "__value", "__code")
-    )
+    # Rows with a hot value meet a broadcast of fixed size and are not shuffled at all;
+    # the shuffled join sees only the thin values.
+    every = codes.table.select(F.col("value").alias("__value"), F.col("code").alias("__code"), "n")
+    hot = F.broadcast(every.orderBy(F.desc("n"), "__value").limit(HOT_ROWS).drop("n"))
+    every = every.drop("n")
+    same = label == F.col("__value")
+    thick = df.join(hot, same)
+    thin = df.join(hot, same, "left_anti").join(every, same, "left")
+    joined = thick.unionByName(thin)
+    return joined.withColumn(output, _found(F.col("__code"), label, unseen_is_error)).drop("__value", "__code")
 
 
 def _found(code: Column, label: Column, unseen_is_error: bool) -> Column:

@@ -243,9 +243,17 @@ def evaluate(df: DataFrame, model: Model, features: list[str], target: str = S.T
             for r in regression_metrics(scored, ("split",)).collect()}
 
 
-def _narrow(df: DataFrame, key: str, target: str, features: list[str]) -> DataFrame:
-    """What training reads, kept: derived splits and scaled features are computed once, not once per pass."""
-    return df.select(*[quoted(c) for c in dict.fromkeys([key, target, "split", *features])]).persist()
+def training_input(df: DataFrame, key: str = "id", target: str = S.TARGET, features: list[str] = S.FEATURES) -> DataFrame:
+    """What training reads, kept: derived splits and scaled features are computed once, not once per pass.
+
+    Rows that come in fewer partitions than there are cores are spread by key, as fitting
+    is bound by computation; a large input already has more and is not shuffled.
+    """
+    narrow = df.select(*[quoted(c) for c in dict.fromkeys([key, target, "split", *features])])
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if narrow.rdd.getNumPartitions() < cores:
+        narrow = narrow.repartition(cores, key)
+    return narrow.persist()
 
 
 def _trained(
@@ -266,7 +274,7 @@ def train_evaluate(
     key: str = "id", k: int = 5,
 ) -> Trained:
     """Fit on the train split, measure train and val, cross-validate on train."""
-    ready = _narrow(df, key, target, features)
+    ready = training_input(df, key, target, features)
     try:
         return _trained(name, estimator, ready, features, target, key, k)
     finally:
@@ -278,7 +286,7 @@ def train_all(
     key: str = "id", k: int = 5,
 ) -> dict[str, Trained]:
     """Train every model; one that fails is logged and left out. Folds are assigned once."""
-    ready = _narrow(df, key, target, features)
+    ready = training_input(df, key, target, features)
     out = {}
     try:
         folded = ready

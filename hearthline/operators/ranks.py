@@ -6,6 +6,7 @@ the rows below and inside it, and only the values inside are sorted. Every step
 a scan with map-side aggregation. Values reach a single task only when a count has
 shown that a bracket holds at most ``task_rows`` of them; a wider bracket is first
 narrowed by a sketch of its inside. The sketch only steers: results come from counts.
+Columns seen to have few values in all (``LIST_VALUES``) are sorted as they are.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from hearthline.functions.sqltext import literal_sql, present_sql
 ACCURACY = 10_000
 SLACK = 5.0  # how far bracket ends lie from a rank, in units of the sketch error
 TASK_ROWS = 1_000_000
+LIST_VALUES = 4_000_000
 MAX_ROUNDS = 64
 
 
@@ -35,14 +37,15 @@ class Ranked:
     ranks: list[int]
     size: int
     guess: tuple[int, int] | None = None  # where the ranks are expected, instead of a sketch
+    reach: bool = True  # whether the rows at or below each value are wanted too
 
 
 @dataclass(frozen=True)
 class Found:
-    """The value at a rank, and how many rows are at or below it."""
+    """The value at a rank, and, if wanted, how many rows are at or below it."""
 
     value: Any
-    reach: int
+    reach: int | None
 
 
 @dataclass(eq=False)
@@ -89,13 +92,11 @@ def _points(shares: Iterable[float], accuracy: int) -> list[float]:
     return sorted({min(max(p, 0.0), 1.0) for s in shares for p in (s - slack, s + slack)})
 
 
-def _clusters(ranks: list[int], size: int, accuracy: int) -> list[list[int]]:
+def _clusters(t: Ranked, accuracy: int) -> list[list[int]]:
     """Ranks so close that one bracket serves them."""
     out: list[list[int]] = []
-    for r in sorted(set(ranks)):
-        if not 1 <= r <= size:
-            raise ValueError(f"rank {r} outside 1..{size}")
-        if out and (r - out[-1][0]) * accuracy <= size or out and r - out[-1][0] <= 1:
+    for r in sorted(set(t.ranks)):
+        if out and (r - out[-1][0] <= 1 or (r - out[-1][0]) * accuracy <= t.size):
             out[-1].append(r)
         else:
             out.append([r])
@@ -106,10 +107,15 @@ def order_statistics(
     df: DataFrame, targets: list[Ranked], accuracy: int = ACCURACY, task_rows: int = TASK_ROWS
 ) -> dict[str, dict[int, Found]]:
     """``{name: {rank: Found}}`` for every target, exact."""
-    shares = {i: [c[0] / t.size for c in _clusters(t.ranks, t.size, accuracy)]
-              for i, t in enumerate(targets) if t.ranks and t.guess is None}
+    for t in targets:
+        bad = [r for r in t.ranks if not 1 <= r <= t.size]
+        if bad:
+            raise ValueError(f"{t.name}: rank {bad[0]} outside 1..{t.size}")
+    sketched = {i: t for i, t in enumerate(targets) if t.ranks and t.guess is None}
+    if sum(t.size for t in sketched.values()) <= LIST_VALUES and all(t.size <= task_rows for t in sketched.values()):
+        sketched = {}
     frame = _columns(df, targets)
-    points = {i: _points(s, accuracy) for i, s in shares.items()}
+    points = {i: _points([c[0] / t.size for c in _clusters(t, accuracy)], accuracy) for i, t in sketched.items()}
     sketches = [_sketch(f"t{i}", p, accuracy, f"p{i}") for i, p in points.items()]
     sketch = frame.selectExpr(*sketches).first() if sketches else None
     return _search(frame, targets, points, sketch, accuracy, task_rows)
@@ -122,10 +128,12 @@ def _search(
     out: dict[str, dict[int, Found]] = {t.name: {} for t in targets}
     open_: list[_Bracket] = []
     for i, t in enumerate(targets):
-        for ranks in _clusters(t.ranks, t.size, accuracy):
-            if t.guess is not None:
-                open_.append(_Bracket(i, ranks, *t.guess, t.size))
-                continue
+        if i not in points:
+            if t.ranks:
+                low, high = t.guess or (None, None)
+                open_.append(_Bracket(i, sorted(set(t.ranks)), low, high, t.size))
+            continue
+        for ranks in _clusters(t, accuracy):
             # both ends come from the sketch positions nearest the cluster
             share = ranks[0] / t.size
             near = min(points[i], key=lambda p: abs(p - max(share - SLACK / accuracy, 0.0)))
@@ -159,7 +167,8 @@ def _measure(
                 spot = f"{r} - {before}"
                 values.append(f"CASE WHEN {spot} BETWEEN 1 AND size(list{j}) "
                               f"THEN get(list{j}, CAST({spot} - 1 AS INT)) END AS v{j}_{r}")
-                reaches.append(f"{before} + size(filter(list{j}, x -> x <= v{j}_{r})) AS r{j}_{r}")
+                if targets[b.slot].reach:
+                    reaches.append(f"{before} + size(filter(list{j}, x -> x <= v{j}_{r})) AS r{j}_{r}")
     row = {}
     if counts or lists:
         counted = frame.selectExpr(*[f"{e} AS {n}" for n, e in counts], *lists)
@@ -183,7 +192,7 @@ def _measure(
                 settled[r] = Found(b.low, le_low)
             elif r <= lt_high:
                 if b.bound <= task_rows:
-                    settled[r] = Found(row[f"v{j}_{r}"], row[f"r{j}_{r}"])
+                    settled[r] = Found(row[f"v{j}_{r}"], row.get(f"r{j}_{r}"))
                 else:
                     inner.append(r)
             elif r <= le_high:
@@ -247,12 +256,7 @@ def exact_quantiles(
     types = {f.name: f.dataType for f in df.schema.fields}
     clean = {c: present_sql(c, types[c]) for c in columns}
     clean = {c: f"CAST({e} AS DOUBLE)" if isinstance(types[c], T.DecimalType) else e for c, e in clean.items()}
-    points = _points(probs, accuracy)
-    first = df.selectExpr(
-        *[f"count({e}) AS n_{i}" for i, e in enumerate(clean.values())],
-        *[_sketch(e, points, accuracy, f"p{i}") for i, e in enumerate(clean.values())],
-        *extra,
-    ).first()
+    first = df.selectExpr(*[f"count({e}) AS n_{i}" for i, e in enumerate(clean.values())], *extra).first()
 
     spots: dict[str, list[tuple[int, int, float]]] = {}
     targets = []
@@ -264,8 +268,8 @@ def exact_quantiles(
             lower = math.floor(at)
             spots[c].append((lower + 1, min(lower + 2, n), at - lower))
         ranks = sorted({r for lo, hi, frac in spots[c] for r in ((lo, hi) if frac else (lo,))})
-        targets.append(Ranked(c, clean[c], ranks, n))
-    found = _search(_columns(df, targets), targets, {i: points for i in range(len(targets))}, first, accuracy, task_rows)
+        targets.append(Ranked(c, clean[c], ranks, n, reach=False))
+    found = order_statistics(df, targets, accuracy, task_rows)
 
     out: dict[str, list[float | None]] = {}
     for c in columns:

@@ -60,14 +60,19 @@ def _inferred(df: DataFrame) -> DataFrame:
     return df.select(*[typed(i, c).alias(name) for i, (name, c) in enumerate(cells.items())])
 
 
-def scan_csv_encoded(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_csv_encoded(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str | None = None,
+    multi_line: bool | None = None,
+) -> DataFrame:
     """CSV with header: UTF-8 if every byte of it is, else Latin-1 as a whole.
 
-    Types are inferred unless a schema is given. Files stay splittable unless a
-    quoted cell holds a line end.
+    Files stay splittable unless a quoted cell holds a line end. Looking for encoding and
+    line ends takes one scan, inferring types another; what is given is not looked for.
     """
-    utf8, multi_line = _raw_facts(spark, path)
-    encoding = "UTF-8" if utf8 else "ISO-8859-1"
+    if encoding is None or multi_line is None:
+        utf8, broken = _raw_facts(spark, path)
+        encoding = encoding or ("UTF-8" if utf8 else "ISO-8859-1")
+        multi_line = broken if multi_line is None else multi_line
     log.info("reading %s as %s", path, encoding)
     reader = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option(
         "multiLine", multi_line)

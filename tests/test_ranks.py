@@ -6,11 +6,19 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hearthline.operators import ranks as ranks_module
 from hearthline.operators.ranks import Ranked, exact_medians, exact_quantiles, order_statistics
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
+@pytest.fixture(autouse=True, params=["lists", "brackets"])
+def way(request, monkeypatch):
+    """Every case both ways: small columns sorted whole, and searched like large ones."""
+    if request.param == "brackets":
+        monkeypatch.setattr(ranks_module, "LIST_VALUES", 0)
+
+
 def frame(spark, values, kind="double", parts=4):
     return spark.createDataFrame([(v,) for v in values], f"x {kind}").repartition(parts)
 
