@@ -9,6 +9,7 @@ a task is run again.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,14 @@ def allocate(counts: list[int], total: int) -> list[int]:
     return shares
 
 
-def _held_out(df: DataFrame, key: str, stratum: str, size: int, seed: int, label: str, task_rows: int) -> Column:
-    """True for the rows held out: in each stratum those with the smallest hashes."""
+def _held_out(
+    df: DataFrame, key: str, stratum: str, mark: str, size: int, task_rows: int
+) -> Callable[[str], Column]:
+    """Which rows are held out: in each stratum those with the smallest hashes (column ``mark``).
+
+    The answer is a function of the SQL that gives a row's hash, to be applied to any
+    frame that has the stratum.
+    """
     counts = {r[stratum]: r["count"] for r in df.groupBy(stratum).count().collect()}
     strata = sorted(counts)
     if min(counts.values()) < 2:
@@ -54,24 +61,27 @@ def _held_out(df: DataFrame, key: str, stratum: str, size: int, seed: int, label
     kept = allocate([counts[s] for s in strata], rest)
     quotas = {s: counts[s] - k for s, k in zip(strata, kept)}
 
-    mark = row_hash(key, seed, label)
-    marked = df.selectExpr(f"{name_sql(stratum)} AS stratum", f"{mark} AS mark")
-    found = order_statistics(marked, [
-        Ranked(str(s), f"CASE WHEN stratum = {s} THEN mark END", [q], counts[s], _hash_range(q, counts[s]))
+    found = order_statistics(df, [
+        Ranked(str(s), f"CASE WHEN {stratum} = {s} THEN {mark} END", [q], counts[s], _hash_range(q, counts[s]))
         for s, q in quotas.items() if q
     ], task_rows=task_rows)
 
     # One threshold per stratum, looked up by the stratum; -1 holds nothing out.
     reach = {s: found[str(s)][q] for s, q in quotas.items() if q}
     cuts = [str(reach[s].value) + "L" if s in reach else "-1L" for s in range(max(strata) + 1)]
-    cut = f"get(array({', '.join(cuts)}), {name_sql(stratum)})"
-    held = F.expr(f"{mark} <= {cut}")
-    for s, found_at in reach.items():
-        extra = found_at.reach - quotas[s]
+    stay = {}
+    for s, at in reach.items():
+        extra = at.reach - quotas[s]
         if extra:
             # Several rows have the hash of the threshold: those with the greatest keys stay.
-            tied = F.expr(f"{name_sql(stratum)} = {s} AND {mark} = {found_at.value}L")
-            held = held & ~(tied & quoted(key).isin(_greatest_keys(df, key, tied, extra)))
+            stay[s, at.value] = _greatest_keys(df, key, F.expr(f"{stratum} = {s} AND {mark} = {at.value}L"), extra)
+
+    def held(hash_sql: str) -> Column:
+        out = F.expr(f"{hash_sql} <= get(array({', '.join(cuts)}), {stratum})")
+        for (s, cut), keys in stay.items():
+            out = out & ~(F.expr(f"{stratum} = {s} AND {hash_sql} = {cut}L") & quoted(key).isin(keys))
+        return out
+
     return held
 
 
@@ -100,26 +110,30 @@ def stratified_split(
 
     ``key`` must identify a row; membership follows from a hash of it.
     """
-    narrow = df.select(quoted(key), quoted(target)).persist()
+    marks = {label: row_hash(key, seed, label) for label in ("test", "val")}
+    narrow = df.selectExpr(
+        name_sql(key), name_sql(target), *[f"{m} AS __{label}" for label, m in marks.items()]).persist()
     try:
         edges, first = _edges(narrow, target, 10)
         n = first["rows"]
         if first["n_0"] < n:
             raise ValueError(f"target {target!r} has missing values")
         n_test = math.ceil(test_size * n)
-        test = _held_out(_binned(narrow, target, edges, "bin"), key, "bin", n_test, seed, "test", task_rows)
+        binned = _binned(narrow, target, edges, "bin")
+        test = _held_out(binned, key, "bin", "__test", n_test, task_rows)
 
-        rest = _binned(narrow, target, edges, "bin").where(~test)
+        rest = binned.where(~test("__test")).drop("bin")
         rest_edges, first = _edges(rest, target, 10)
         if first["about"] < 10 * 200:
             few = rest.agg(F.count_distinct(quoted(target))).first()[0] // 20
             rest_edges = rest_edges if few >= 10 else _edges(rest, target, max(1, few))[0]
         n_val = math.ceil(validation_size / (1 - test_size) * (n - n_test))
-        val = _held_out(_binned(rest, target, rest_edges, "rest_bin"), key, "rest_bin", n_val, seed, "val", task_rows)
+        val = _held_out(_binned(rest, target, rest_edges, "rest_bin"), key, "rest_bin", "__val", n_val, task_rows)
     finally:
         narrow.unpersist()
     binned = _binned(_binned(df, target, edges, "bin"), target, rest_edges, "rest_bin")
-    return binned.withColumn("split", F.when(test, "test").when(val, "val").otherwise("train")).drop("rest_bin")
+    split = F.when(test(marks["test"]), "test").when(val(marks["val"]), "val").otherwise("train")
+    return binned.withColumn("split", split).drop("rest_bin")
 
 
 def _binned(df: DataFrame, target: str, edges: list[float], output: str) -> DataFrame:
