@@ -75,10 +75,12 @@ def fit_preprocessing(df: DataFrame, features: list[str] = S.FEATURES, where: Co
     return Preprocessing(tuple(fits))
 
 
-def imputed_sql(fit: Preprocessing, types: dict) -> dict[str, str]:
-    """The features with the fitted median for missing, as SQL by name."""
+def imputed_sql(fit: Preprocessing, types: dict, fills: dict[str, float] | None = None) -> dict[str, str]:
+    """The features with the fitted median for missing, or their constant of ``fills``, as SQL by name."""
+    fills = fills or {}
     return {
-        f.feature: f"coalesce(CAST({present_sql(f.feature, types[f.feature])} AS DOUBLE), {literal_sql(f.median)})"
+        f.feature: f"coalesce(CAST({present_sql(f.feature, types[f.feature])} AS DOUBLE), "
+                   f"{literal_sql(float(fills.get(f.feature, f.median)))})"
         for f in fit.fits if f.feature in types
     }
 
@@ -112,8 +114,7 @@ def add_missing_features(df: DataFrame, fit: Preprocessing) -> DataFrame:
 
 def preprocess(df: DataFrame, fit: Preprocessing) -> DataFrame:
     """Fill, impute and scale the features with stored values; other columns pass through."""
-    filled = fill_constant(df)
-    return rewritten(filled, scaled_sql(fit, imputed_sql(fit, _types(filled))))
+    return rewritten(df, scaled_sql(fit, imputed_sql(fit, _types(df), S.NULL_DEFAULTS)))
 
 
 def preprocess_fit_transform(

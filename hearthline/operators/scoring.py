@@ -12,7 +12,7 @@ from hearthline import schema as S
 from hearthline.functions.columns import confidence, quoted
 from hearthline.operators.models import LinearFormula, predict
 from hearthline.operators.preprocess import Preprocessing, add_missing_features, imputed_sql, scaled_sql
-from hearthline.operators.quality import fill_constant, valid_request, validate_ranges, violations
+from hearthline.operators.quality import valid_request, validate_ranges, violations
 
 API_VERSION = "2.0"
 
@@ -29,9 +29,9 @@ class Scorer:
         """``df`` with the prediction; the request columns keep their own values."""
         if self.model is None or self.fit is None:
             raise ValueError("no model is loaded")
-        full = fill_constant(add_missing_features(df, self.fit))
+        full = add_missing_features(df, self.fit)
         types = {f.name: f.dataType for f in full.schema.fields}
-        scaled = scaled_sql(self.fit, imputed_sql(self.fit, types))
+        scaled = scaled_sql(self.fit, imputed_sql(self.fit, types, S.NULL_DEFAULTS))
         names = [f"__z{i}" for i in range(len(scaled))]
         model = self.model
         if hasattr(model, "coefficients"):

@@ -37,6 +37,11 @@ def test_audit_record_shape(spark):
     assert failed["output"]["prediction"] == 0.0 and failed["output"]["confidence"] == "Erreur"
 
 
+def test_audit_keeps_the_request_as_it_came(spark):
+    row = scoring.audit_rows(requests(spark, {**EXAMPLE, "sqft_basement": None}), SCORER).first()
+    assert row["error"] == "sqft_basement missing" and row["input"]["features"]["sqft_basement"] is None
+
+
 def test_no_model_raises_before_any_record(spark):
     with pytest.raises(ValueError, match="no model"):
         scoring.audit_rows(requests(spark, EXAMPLE), scoring.Scorer("none", None, FIT))
