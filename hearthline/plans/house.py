@@ -14,6 +14,7 @@ from hearthline.operators.preprocess import Preprocessing, fit_preprocessing, pr
 from hearthline.operators.quality import clean
 from hearthline.operators.scoring import Scorer
 from hearthline.operators.split import stratified_split
+from hearthline.session import tune
 from hearthline.sources.files import scan_raw, scan_splits, sink_splits, sink_table
 from hearthline.sources.state import append_run, load_fit_state, load_model, save_fit_state, save_model, training_run
 
@@ -73,6 +74,7 @@ def train_and_select(
 
 def run_training(spark: SparkSession, raw_path: str, out: str, key: str = "id", config: dict | None = None) -> Selection:
     """Raw CSV to a saved model: clean, prepare, write the splits, train, compare, save, record."""
+    tune(spark)
     sink_table(clean(scan_raw(spark, raw_path)), f"{out}/clean.parquet")
     ready, fit = prepare(spark.read.parquet(f"{out}/clean.parquet"), key)
     sink_splits(ready, f"{out}/splits")
