@@ -65,14 +65,17 @@ def scan_splits(spark, folder):
     return files.scan_splits(spark, path, "train")
 
 
-@query("scan_audit_log", over_audit("""SELECT line_no, json_valid(line) AS is_json,
+@query("scan_audit_log", over_audit("""SELECT line, json_valid(line) AS is_json,
   CASE WHEN json_valid(line) THEN json_extract_string(line, '$.event_type') END AS event_type,
   CASE WHEN json_valid(line) THEN json_extract_string(line, '$.status') END AS status,
   CASE WHEN json_valid(line) THEN CAST(json_extract_string(line, '$.performance.duration_ms') AS DOUBLE) END AS duration_ms
   FROM a"""))
 def scan_audit_log(spark, folder):
-    return audit.parse_audit(audit_log(spark, folder)).select(
-        "line_no", F.coalesce("is_json", F.lit(False)).alias("is_json"), "record.event_type", "record.status",
+    """The audit lines written as a text log, read back and parsed; plain lines stay unparsed."""
+    path = scratch_path(spark, "log")
+    audit_log(spark, folder).select("line").write.text(path)
+    return audit.parse_audit(files.scan_audit_log(spark, path)).select(
+        "line", F.coalesce("is_json", F.lit(False)).alias("is_json"), "record.event_type", "record.status",
         "record.performance.duration_ms")
 
 

@@ -54,7 +54,7 @@ def audit_tail(
         F.when(is_json, trimmed).alias("entry"),
         F.when(~is_json, trimmed).alias("raw_message"),
         F.when(~is_json, "raw").alias("type"),
-        F.lit(total).alias("total_logs"),
+        F.lit(total).cast("bigint").alias("total_logs"),
         F.lit(min(limit, total)).alias("showing"),
     )
 
