@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,12 +63,6 @@ def confidence(prediction: Column) -> Column:
     return F.coalesce(*tiers, F.lit(S.CONFIDENCE_LOWEST))
 
 
-def finite_or_null(value: Column) -> Column:
-    """NaN and both infinities read as missing."""
-    number = value.cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), value)
-
-
 def scaled_to_ten(value: Column, low: float | None, high: float | None) -> Column:
     """Min-max scaling to 0..10; a constant column has no scale and gives null."""
     if low is None or high is None or low == high:
@@ -85,7 +77,3 @@ def tidy_name(name: str) -> str:
 def display_name(name: Column) -> Column:
     """``random_forest`` as ``Random Forest``."""
     return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -6,7 +6,6 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions.sqltext import literal_sql, name_sql, present_sql
