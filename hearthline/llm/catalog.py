@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearthline.llm.common import documents
 from hearthline.llm.jaccard_join import jaccard_components
+from hearthline.llm.substring_dedup import substring_dedup
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TEXT_ORACLES: dict[str, str] = {}
@@ -29,13 +30,29 @@ WITH RECURSIVE w AS (
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
     ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
     GROUP BY 1, 2),
 l AS (SELECT p.a, p.b FROM p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id
-    WHERE 100 * both >= 85 * (x.n + y.n - both)),
+    WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN r ON r.a = d.doc_id GROUP BY d.doc_id""")
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, similarity 0.85."""
     return jaccard_components(documents(spark, folder), n=4, percent=85)
+
+
+@query("op3_substring_dedup", """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
+k AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k FROM g),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS least FROM k),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM m WHERE least < doc_id GROUP BY doc_id),
+c AS (SELECT w.doc_id, words, coalesce(gone, []) AS gone FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id)
+SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256 FROM c""")
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Remove every 13-word window that also begins in an earlier document, over all documents."""
+    return substring_dedup(documents(spark, folder), window=13, texts=False)
