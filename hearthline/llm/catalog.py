@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearthline.llm.common import documents
 from hearthline.llm.jaccard_join import jaccard_components
+from hearthline.llm.mixing import mix_sources
+from hearthline.llm.packing import pack
 from hearthline.llm.substring_dedup import substring_dedup
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TEXT_ORACLES: dict[str, str] = {}
 
 
+PACKING_TOKENIZER = "word_bpe_49k.json"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         TEXT_QUERIES[name] = fn
@@ -56,3 +61,17 @@ SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Remove every 13-word window that also begins in an earlier document, over all documents."""
     return substring_dedup(documents(spark, folder), window=13, texts=False)
+
+
+@query("op1_pack")
+def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+    return pack(documents(spark, folder), public_tokenizers.path(PACKING_TOKENIZER), length=2048, end=1)
+
+
+@query("op9_mix_sources")
+def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, mixed by source with weights 1, 2, 3."""
+    return mix_sources(documents(spark, folder), sources="source").select(
+        "doc_id", "size", "source_size", "target", "taken")
