@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthline.llm.common import documents
+from hearthline.llm.embedding_dedup import embedding_dedup
+from hearthline.llm.fingerprints import edited_likeness
 from hearthline.llm.jaccard_join import jaccard_components
 from hearthline.llm.mixing import mix_sources
 from hearthline.llm.packing import pack
 from hearthline.llm.substring_dedup import substring_dedup
+from hearthline.llm.toxicity import toxicity
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TEXT_ORACLES: dict[str, str] = {}
@@ -75,3 +78,31 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, mixed by source with weights 1, 2, 3."""
     return mix_sources(documents(spark, folder), sources="source").select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n ON c.vec_id = n.a""")
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return embedding_dedup(spark.read.parquet(f"{folder}/embeddings.parquet"), least=0.9)
+
+
+@query("op8_fingerprint")
+def op8_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_likeness(documents(spark, folder))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from two thirds of the labels."""
+    return toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
