@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthline.llm.common import documents
 from hearthline.llm.embedding_dedup import embedding_dedup
 from hearthline.llm.fingerprints import edited_likeness
 from hearthline.llm.jaccard_join import jaccard_components
+from hearthline.llm.language import identify
 from hearthline.llm.mixing import mix_sources
 from hearthline.llm.packing import pack
+from hearthline.llm.secrets import scan_secrets
 from hearthline.llm.substring_dedup import substring_dedup
 from hearthline.llm.toxicity import toxicity
 
@@ -106,3 +109,18 @@ def op8_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learned from two thirds of the labels."""
     return toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op2_scan_secrets")
+def op2_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents; a source is an owner, and what it has in a language a repository."""
+    docs = documents(spark, folder).withColumn("repository", F.concat_ws("/", F.coalesce("source", F.lit("")), "lang"))
+    found = scan_secrets(docs, owner="source", repository="repository")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans",
+                        "n_live", "n_example")
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from four fifths of them."""
+    return identify(documents(spark, folder))
