@@ -14,6 +14,7 @@ from hearthline.llm.jaccard_join import jaccard_components
 from hearthline.llm.language import identify
 from hearthline.llm.mixing import mix_sources
 from hearthline.llm.packing import pack
+from hearthline.llm.pii import digests
 from hearthline.llm.secrets import scan_secrets
 from hearthline.llm.substring_dedup import substring_dedup
 from hearthline.llm.toxicity import toxicity
@@ -124,3 +125,9 @@ def op2_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of all documents, learned from four fifths of them."""
     return identify(documents(spark, folder))
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents."""
+    return digests(documents(spark, folder))
