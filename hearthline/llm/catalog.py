@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hearthline.llm.common import documents
 from hearthline.llm.embedding_dedup import embedding_dedup
 from hearthline.llm.fingerprints import edited_likeness
@@ -131,3 +132,6 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of all documents."""
     return digests(documents(spark, folder))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hearthline.session import written
 
@@ -26,7 +27,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return small_batches(spark).read.parquet(f"{folder}/documents.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; it may return None for nothing."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,13 +13,12 @@ import heapq
 from collections import defaultdict
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import map_batches, small_batches
-from hearthline.llm.words import find_words, hash_words, mix
+from hearthline.llm.words import find_words
 from hearthline.session import written
 
 HASH_BITS, STEP_BITS = 40, 10  # of the selecting hash, and of the ranges counted at a time
@@ -85,18 +84,22 @@ def min_cost_flow(patterns: dict[tuple, int], demands: dict, most: int) -> dict[
             graph[graph[a][k][0]][graph[a][k][3]][1] += amount
 
 
-def word_sizes(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` (doc_id, text, members) as (doc_id, members, size, place), with place a seeded hash of the row."""
+def _placed(docs: DataFrame, sources: str, seed: int) -> DataFrame:
+    """``docs`` with ``members``, their text as ``pattern``, and ``place``, a seeded hash of the row."""
+    named = F.col(sources) if dict(docs.dtypes)[sources].startswith("array") else F.array(F.col(sources))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), "text"), 64 - HASH_BITS)
+    return docs.withColumn("members", F.array_sort(F.array_distinct(named.cast("array<string>")))).withColumn(
+        "pattern", F.to_json(F.struct("members"), {"ignoreNullFields": "false"})).withColumn("place", place)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, members, pattern, place, size) of placed ``docs``."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        words = find_words(b["text"])
-        total = np.concatenate([[np.uint64(0)], np.cumsum(hash_words(words, 3), dtype=np.uint64)])
-        ids = np.asarray(b["doc_id"].cast(pa.int64()).fill_null(-1)).astype(np.int64).view(np.uint64)
-        place = mix(mix(ids + np.uint64(seed)) + (total[words.first[1:]] - total[words.first[:-1]]))
-        return pa.RecordBatch.from_pydict({
-            "doc_id": b["doc_id"].cast(pa.int64()), "members": b["members"], "size": pa.array(words.counts(), pa.int64()),
-            "place": pa.array((place >> np.uint64(64 - HASH_BITS)).astype(np.int64))})
-    return map_batches(docs, batch, "doc_id long, members array<string>, size long, place long")
+        return pa.RecordBatch.from_pydict({**{c: b[c] for c in ("doc_id", "members", "pattern", "place")},
+                                           "size": pa.array(find_words(b["text"]).counts(), pa.int64())})
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "members", "pattern", "place", "text"), batch,
+                       "doc_id long, members array<string>, pattern string, place long, size long")
 
 
 def _thresholds(sized: DataFrame, cuts: list[tuple[str, int, int]]) -> dict[tuple[str, int], int]:
@@ -122,27 +125,14 @@ def _thresholds(sized: DataFrame, cuts: list[tuple[str, int, int]]) -> dict[tupl
     return {(p, k): low + (2 * words > sizes[p, k]) for p, k, words, low in now}
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] | dict | None = None, most: int = 3, seed: int = 0,
-                sources: str = "sources") -> DataFrame:
-    """(doc_id, members, size, source_size, target, uses, taken) for each row of ``docs`` (doc_id, text, <sources>).
+def _plan(sized: DataFrame, weights: Sequence[float] | dict | None, most: int) -> DataFrame:
+    """(pattern, source_size, target, bounds): how far the uses of a pattern's documents go to each of its sources.
 
-    ``sources`` is a column of names, or of arrays of names where sources overlap; a null is a source of
-    its own, null last. ``weights`` maps names to weights, or is a sequence repeated over the names by
-    code point; 1, 2, 3 by default. Size counts runs without ASCII white space, 0 for a null text. Together
-    the sources share all documents' words by weight, none above ``most`` times its own size (that of all
-    documents in it). ``uses`` lists the source of each use of the document, at most ``most`` of them, and
-    ``taken`` is the words it gives. source_size and target are sums over the document's sources: of a
-    single one, its own. Documents without words or without sources are in no mix: their uses are empty.
-    Which documents are used depends on doc_id, text and seed only; rows that repeat are used alike.
+    One row for each pattern; a bound is the turn (of the uses) and the place up to which a source reaches.
     """
-    spark = small_batches(docs.sparkSession)
-    named = F.col(sources) if dict(docs.dtypes)[sources].startswith("array") else F.array(F.col(sources))
-    members = F.array_sort(F.array_distinct(named))
-    sized = written(word_sizes(docs.select("doc_id", "text", members.alias("members")), seed)
-                    .withColumn("pattern", F.to_json(F.struct("members"), {"ignoreNullFields": "false"})), "sizes")
-    found = sized.groupBy("pattern", "members").agg(F.sum("size").alias("size")).collect()
-    patterns = {tuple(r.members): int(r.size) for r in found if r.members is not None}
-    written_as = {tuple(r.members): r.pattern for r in found if r.members is not None}
+    found = sized.where("members IS NOT NULL").groupBy("pattern", "members").agg(F.sum("size").alias("size")).collect()
+    patterns = {tuple(r.members): int(r.size) for r in found}
+    written_as = {tuple(r.members): r.pattern for r in found}
     sizes: dict = defaultdict(int)
     for pattern, size in patterns.items():
         for s in pattern:
@@ -151,11 +141,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] | dict | None = None,
     if not isinstance(weights, dict):
         cycle = list(weights or (1, 2, 3))
         weights = {s: cycle[k % len(cycle)] for k, s in enumerate(names)}
-    total = sum(patterns.values())
-    scale = total / sum(sizes.values()) if total else 1.0  # overlapping sources count a document more than once
-    targets = shares({s: sizes[s] * scale for s in names}, weights, most)
+    targets = shares(sizes, weights, most)
     flow = min_cost_flow(patterns, {s: round(t) for s, t in targets.items()}, most)
-
     plan, cuts = [], []
     for pattern, size in patterns.items():
         upto, bounds = 0, []
@@ -167,14 +154,47 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] | dict | None = None,
     at = _thresholds(sized, cuts) if cuts else {}
     rows = [(written_as[p], sum(sizes[s] for s in p), float(sum(targets[s] for s in p)),
              [(turn, at.get((written_as[p], k), 0)) for k, (turn, _) in enumerate(bounds)]) for p, bounds in plan]
-    table = spark.createDataFrame(rows, "pattern string, source_size long, target double, "
-                                  "bounds array<struct<turn:int,place:long>>")
+    return sized.sparkSession.createDataFrame(
+        rows, "pattern string, source_size long, target double, bounds array<struct<turn:int,place:long>>")
+
+
+def _with_uses(placed: DataFrame, plan: DataFrame, most: int) -> DataFrame:
     # in its turn-th use a document belongs to the first source whose bound lies beyond it
     uses = F.expr(f"""filter(transform(sequence(0, {most - 1}), t -> size(filter(bounds,
-        b -> t > b.turn OR (t = b.turn AND place >= b.place)))), i -> size > 0 AND i < size(bounds))""")
-    return (sized.join(table, "pattern", "left")
-            .withColumn("uses", F.transform(uses, lambda i: F.get("members", i)))
-            .select("doc_id", "members", "size", F.coalesce("source_size", F.lit(0).cast("long")).alias("source_size"),
-                    F.coalesce("target", F.lit(0.0)).alias("target"),
-                    F.coalesce("uses", F.array().cast("array<string>")).alias("uses"),
-                    F.coalesce(F.col("size") * F.size("uses"), F.lit(0)).cast("long").alias("taken")))
+        b -> t > b.turn OR (t = b.turn AND place >= b.place)))), i -> i < size(bounds))""")
+    return placed.join(plan, "pattern", "left").withColumn("uses", F.coalesce(
+        F.transform(uses, lambda i: F.get("members", i)), F.array().cast("array<string>")))
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] | dict | None = None, most: int = 3, seed: int = 0,
+                sources: str = "sources") -> DataFrame:
+    """(doc_id, members, size, source_size, target, uses, taken) for each row of ``docs`` (doc_id, text, <sources>).
+
+    ``sources`` is a column of names, or of arrays of names where sources overlap; a null is a source of
+    its own, null last. ``weights`` maps names to weights, or is a sequence repeated over the names by
+    code point; 1, 2, 3 by default. Size counts runs without ASCII white space, 0 for a null text. Together
+    the sources share the words of all their documents by weight, none above ``most`` times its own (those
+    of all documents in it). ``uses`` lists the source of each use of the document, at most ``most`` of
+    them, and ``taken`` is the words it gives. source_size and target are sums over the document's sources:
+    of a single one, its own. A document whose array of sources is null or empty is in no mix. Which
+    documents are used depends on doc_id, text and seed only; rows that repeat are used alike. Overlapping
+    sources may ask for more than their documents have ``most`` times over; they get what there is.
+    """
+    small_batches(docs.sparkSession)
+    sized = written(_sized(_placed(docs, sources, seed)), "sizes")
+    found = _with_uses(sized, _plan(sized, weights, most), most)
+    return found.select("doc_id", "members", "size", F.coalesce("source_size", F.lit(0).cast("long")).alias("source_size"),
+                        F.coalesce("target", F.lit(0.0)).alias("target"), "uses",
+                        (F.col("size") * F.size("uses")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] | dict | None = None, most: int = 3, seed: int = 0,
+                    sources: str = "sources") -> DataFrame:
+    """The rows of ``docs`` as often as ``mix_sources`` uses them. No text is shuffled."""
+    small_batches(docs.sparkSession)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"),
+                        F.col(f"`{sources}`").alias("sources"))
+    placed = _placed(whole, "sources", seed)
+    plan = _plan(written(_sized(placed), "sizes"), weights, most)
+    used = _with_uses(placed.select("row", "members", "pattern", "place"), plan, most)
+    return used.select("row", F.explode("uses")).select("row.*")

@@ -255,6 +255,16 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), batch, "doc_id long, score double")
 
 
+def below(docs: DataFrame, scorer: Scorer, limit: float) -> DataFrame:
+    """The rows of ``docs`` (text and any other columns) that score below ``limit``."""
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(scorer)
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        scores = shared.value.scores(np.array([shared.value.features(t) for t in b["text"].to_pylist()]))
+        return b.filter(pa.array(scores < limit))
+    return map_batches(docs, batch, docs.schema)
+
+
 HELD_OUT = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, false)"
 
 
