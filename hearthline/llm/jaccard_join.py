@@ -25,7 +25,7 @@ from hearthline.llm.sketch import Classes, count_min
 from hearthline.llm.words import find_words, hash_words, mix, runs
 from hearthline.session import written
 
-BITS = 27  # cells of the sketch of shingles: 32 MB at the driver and in a Python worker
+BITS = 28  # cells of the sketch of shingles: 64 MB at the driver and in a Python worker
 NODE_BITS = 24
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LEVELS = 8  # longest prefix extension
@@ -171,33 +171,54 @@ def link_block(sets: list[np.ndarray], percent: int, split: int | None = None) -
     return links
 
 
+def _tiles(candidates: DataFrame) -> DataFrame:
+    """(node, root, c, i, d, j, second): which tiles each candidate (node, root, class, n_shingles) is in.
+
+    A component that fits a block is one tile. A larger one is cut by size class and, within it, by hash;
+    its blocks meet the others of their class and of the next ones. Tile (c, i, d, j) compares block i of
+    class c with block j of class d; ``second`` marks rows of the latter.
+    """
+    blocks = F.expr(f"greatest(ceil(count(*) / {BLOCK_MEMBERS}), ceil(sum(n_shingles) / {BLOCK_SHINGLES}))").cast("int")
+    large = candidates.groupBy("root").agg(blocks.alias("all"))
+    parts = candidates.groupBy("root", "class").agg(blocks.alias("own")).join(large, "root")
+    near = {step: parts.select("root", (F.col("class") - step).alias("class"), F.col("own").alias(name))
+            for step, name in ((1, "above"), (-1, "below"))}
+    parts = parts.join(near[1], ["root", "class"], "left").join(near[-1], ["root", "class"], "left").na.fill(0)
+    placed = candidates.join(parts, ["root", "class"]).withColumn("block", F.expr("cast(pmod(xxhash64(node), own) AS int)"))
+    tile = "named_struct('c', {}, 'i', {}, 'd', {}, 'j', {}, 'second', {})"
+    own = tile.format("class", "least(block, x)", "class", "greatest(block, x)", "x < block")
+    above = tile.format("class", "block", "class + 1", "x", "false")
+    below = tile.format("class - 1", "x", "class", "block", "true")
+    return placed.selectExpr("node", "root", f"""inline(CASE WHEN all = 1 THEN array({tile.format(0, 0, 0, 0, 'false')})
+        ELSE concat(transform(sequence(0, own - 1), x -> {own}),
+            CASE WHEN above > 0 THEN transform(sequence(0, above - 1), x -> {above}) ELSE array() END,
+            CASE WHEN below > 0 THEN transform(sequence(0, below - 1), x -> {below}) ELSE array() END) END)""")
+
+
 def _verified(items: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of each block, or pair of blocks, of a candidate component."""
+    """A forest (a, b) of the links of each tile."""
+    keys = ["root", "c", "i", "d", "j"]
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[dict]) -> pa.RecordBatch:
-            rows.sort(key=lambda r: r["block"])
-            split = sum(r["block"] == rows[0]["block"] for r in rows)
-            if rows[0]["i"] == rows[0]["j"]:
-                links = link_block([np.frombuffer(r["shingles"], np.uint64) for r in rows], percent)
-            elif split < len(rows):
-                links = link_block([np.frombuffer(r["shingles"], np.uint64) for r in rows], percent, split)
-            else:
-                links = []
+            rows.sort(key=lambda r: r["second"])
+            split = sum(not r["second"] for r in rows)
+            alone = (rows[0]["c"], rows[0]["i"]) == (rows[0]["d"], rows[0]["j"])
+            links = link_block([np.frombuffer(r["shingles"], np.uint64) for r in rows], percent,
+                               None if alone else split) if alone or 0 < split < len(rows) else []
             return pa.RecordBatch.from_pydict({"a": pa.array([rows[a]["node"] for a, _ in links], pa.binary()),
                                                "b": pa.array([rows[b]["node"] for _, b in links], pa.binary())})
         held: list[dict] = []
         for b in batches:
             for row in b.to_pylist():
-                if held and any(held[0][k] != row[k] for k in ("root", "i", "j")):
+                if held and any(held[0][k] != row[k] for k in keys):
                     if len(held) > 1:
                         yield out(held)
                     held = []
                 held.append(row)
         if len(held) > 1:
             yield out(held)
-    keys = ["root", "i", "j"]
-    return items.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(blocks, "a binary, b binary")
+    return items.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles, "a binary, b binary")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -215,16 +236,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
-    tokens = sets.select("node", "n_shingles", F.explode("tokens").alias("token"))
-    stars = tokens.groupBy("token").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = tokens.join(stars, "token").where("node <> star").selectExpr("node AS a", "star AS b")
-    candidates = written(connected(edges).join(sets.select("node", "n_shingles"), "node"), "candidates")
-    sizes = candidates.groupBy("root").agg(F.expr(
-        f"greatest(ceil(count(*) / {BLOCK_MEMBERS}), ceil(sum(n_shingles) / {BLOCK_SHINGLES}))").cast("int").alias("blocks"))
-    items = (candidates.join(sizes, "root").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS int)"))
-             .select("node", "root", "block", "blocks").join(_sets(docs, candidates.select("node"), n), "node")
-             .withColumn("other", F.expr("explode(sequence(0, blocks - 1))"))
-             .selectExpr("root", "least(block, other) AS i", "greatest(block, other) AS j", "block", "node", "shingles"))
+    # linked sets are of the same size class or of neighbouring ones
+    sets = sets.withColumn("class", F.expr(f"cast(floor(ln(n_shingles) / -ln({percent} / 100D) + 1e-9) AS int)"))
+    tokens = sets.select("node", "class", F.explode("tokens").alias("token")).withColumn(
+        "class", F.expr("explode(array(class, class + 1))"))
+    stars = (tokens.groupBy("token", "class").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1")
+             .drop("n"))
+    edges = tokens.join(stars, ["token", "class"]).where("node <> star").selectExpr("node AS a", "star AS b")
+    candidates = written(connected(edges).join(sets.select("node", "class", "n_shingles"), "node"), "candidates")
+    items = _tiles(candidates).join(_sets(docs, candidates.select("node"), n), "node")
     linked = connected(_verified(items, percent))
     least = sets.select("node", "least")
     groups = linked.join(least, "node")
@@ -234,3 +254,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     return (rows.join(found.withColumn("some", F.lit(True)), "node", "left")
             .select("doc_id", "n_shingles", F.when(F.col("some"), F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Of each component of ``docs`` (doc_id, text and any other columns) the rows with its smallest doc_id, once each.
+
+    Rows with a null doc_id stay unless they are linked with one that has an id; repeated rows, equal in
+    doc_id and text, become one.
+    """
+    found = jaccard_components(docs, n, percent)
+    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                        F.xxhash64("text").alias("text_hash"))
+    kept = whole.join(ids, F.col("id") == F.col("kept_id"), "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
+    nameless = whole.where("id IS NULL")
+    return kept.select("row.*").union(nameless.select("row.*"))

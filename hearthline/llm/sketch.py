@@ -57,6 +57,14 @@ class Classes:
     def __init__(self, packed: np.ndarray, rows: int, bits: int):
         self.packed, self.rows, self.bits = packed, rows, bits
 
+    def __getstate__(self) -> tuple:
+        """Compressed, as a broadcast is also written to each executor's disk."""
+        return zlib.compress(self.packed.data, 1), self.rows, self.bits
+
+    def __setstate__(self, state: tuple) -> None:
+        packed, self.rows, self.bits = state
+        self.packed = np.frombuffer(zlib.decompress(packed), np.uint8)
+
     def of(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), 3, np.uint8)
         for row in range(self.rows):
