@@ -10,41 +10,52 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.columns import quoted, text_or_missing
 from hearthline.operators.ranks import TASK_ROWS
-from hearthline.session import written
+from hearthline.session import discard, written
 
-BROADCAST_ROWS = 100_000
-HOT_ROWS = 1_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
+HOT_SHARE = 1_000
 
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """``table`` has (value, code, n); ``small`` says it was seen to fit a broadcast."""
+    """``table`` has (value, code, n); ``small`` says it was seen to fit a broadcast; ``rows`` is the sum of n."""
 
     table: DataFrame
     small: bool
+    rows: int
 
 
 def fit_label_codes(
     df: DataFrame, column: str, broadcast_rows: int = BROADCAST_ROWS, task_rows: int = TASK_ROWS
 ) -> LabelCodes:
-    """Codes in code-point order of the values as text; missing is a value of its own."""
-    values = df.groupBy(text_or_missing(quoted(column)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    head = values.orderBy("value").limit(broadcast_rows + 1).collect()
-    if len(head) <= broadcast_rows:
-        rows = [(r["value"], i, r["n"]) for i, r in enumerate(head)]
-        return LabelCodes(df.sparkSession.createDataFrame(rows, "value string, code bigint, n bigint"), True)
-    return LabelCodes(_ranked_by_range(values, task_rows), False)
+    """Codes in code-point order of the values as text; missing is a value of its own.
 
-
-def _ranked_by_range(values: DataFrame, task_rows: int) -> DataFrame:
+    The distinct values are written once and measured there; only a table that is small in rows and
+    in bytes comes to the driver.
+    """
+    values = written(
+        df.groupBy(text_or_missing(quoted(column)).alias("value")).agg(F.count(F.lit(1)).alias("n")), "label-values")
+    size = values.agg(F.count(F.lit(1)).alias("values"), F.sum(F.octet_length("value")).alias("bytes"),
+                      F.sum("n").alias("rows")).first()
+    if size["values"] <= broadcast_rows and (size["bytes"] or 0) <= BROADCAST_BYTES:
+        rows = [(value, i, n) for i, (value, n) in enumerate(sorted(map(tuple, values.collect())))]
+        table = df.sparkSession.createDataFrame(rows, "value string, code bigint, n bigint")
+    else:
+        table = None
+    codes = LabelCodes(_ranked_by_range(values, size["values"], task_rows) if table is None else table,
+                       table is not None, size["rows"] or 0)
+    discard(values)
+    return codes
+
+
+def _ranked_by_range(values: DataFrame, count: int, task_rows: int) -> DataFrame:
     """Codes of many values: ranges of them are ranked apart and shifted by the sizes before.
 
     The ranges are written out first, so that they stay the same when a task is run again.
     """
-    stored = written(values, "label-values")
-    parts = max(2, math.ceil(4 * stored.count() / task_rows))
+    parts = max(2, math.ceil(4 * count / task_rows))
     ranged = written(
-        stored.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id()), "label-ranges")
+        values.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id()), "label-ranges")
     shifts, total = [], 0
     for r in ranged.groupBy("part").count().orderBy("part").collect():
         shifts.append((r["part"], total))
@@ -52,7 +63,9 @@ def _ranked_by_range(values: DataFrame, task_rows: int) -> DataFrame:
     offsets = values.sparkSession.createDataFrame(shifts, "part int, shift bigint")
     place = F.row_number().over(Window.partitionBy("part").orderBy("value"))
     codes = ranged.join(F.broadcast(offsets), "part").select("value", (F.col("shift") + place - 1).alias("code"), "n")
-    return written(codes, "label-codes")
+    stored = written(codes, "label-codes")
+    discard(ranged)
+    return stored
 
 
 def lookup_label_codes(
@@ -65,10 +78,10 @@ def lookup_label_codes(
         joined = df.join(table, label == F.col("__value"), "left")
         return joined.withColumn(output, _found(F.col("__code"), label, unseen_is_error)).drop("__value", "__code")
 
-    # Rows with a hot value meet a broadcast of fixed size and are not shuffled at all;
-    # the shuffled join sees only the thin values.
+    # Rows with a hot value meet a broadcast and are not shuffled at all; the shuffled join sees only the
+    # thin values. Fewer than HOT_SHARE values can each have more than one row in HOT_SHARE.
     every = codes.table.select(F.col("value").alias("__value"), F.col("code").alias("__code"), "n")
-    hot = F.broadcast(every.orderBy(F.desc("n"), "__value").limit(HOT_ROWS).drop("n"))
+    hot = F.broadcast(every.where(F.col("n") * HOT_SHARE > codes.rows).drop("n"))
     every = every.drop("n")
     same = label == F.col("__value")
     thick = df.join(hot, same)
