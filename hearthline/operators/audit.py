@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline import schema as S
 
+END = "end of line"
 COUNTED = ["prediction", "health_check", "error"]
 
 
+def _json_value(line: Column) -> Column:
+    """The JSON value that is the whole line, as text; a null array where the line is none.
+
+    A reader of JSON stops after a value, so the line stands in an array before an end mark: text
+    after the value, or a second value, spoils the array or moves the mark.
+    """
+    found = F.from_json(F.concat(F.lit("["), line, F.lit(f', "{END}"]')), "array<string>", {"allowSingleQuotes": "false"})
+    return F.when((F.size(found) == 2) & (F.get(found, F.lit(1)) == END), found)
+
+
 def parse_audit(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lines with their parsed ``record`` (null unless a JSON object) and ``is_json``.
 
-    Any JSON value counts as JSON, as in the log reader; only objects give a record.
+    Any JSON value counts as JSON, as in the log reader; only objects give a record. Of a repeated
+    key the last value counts. Text after the value makes a line no JSON.
     """
-    value = F.col(line)
-    is_json = F.try_parse_json(F.trim(value)).isNotNull()
-    is_object = is_json & F.trim(value).startswith("{")
+    value = _json_value(F.col(line))
+    is_object = value.isNotNull() & F.ltrim(F.regexp_replace(F.col(line), r"^[\t\r\n]+", "")).startswith("{")
     return lines.withColumns({
-        "is_json": is_json,
-        "record": F.when(is_object, F.from_json(value, S.AUDIT_SCHEMA)),
+        "is_json": value.isNotNull(),
+        "record": F.when(is_object, F.from_json(F.get(value, F.lit(0)), S.AUDIT_SCHEMA)),
     })
 
 
 def event_type(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lines with their event type; null where there is none."""
-    return lines.withColumn("event_type", F.get_json_object(F.col(line), "$.event_type"))
+    return parse_audit(lines, line).withColumn("event_type", F.col("record.event_type")).drop("is_json", "record")
 
 
 def audit_event_counts(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -47,9 +58,8 @@ def audit_tail(
         raise ValueError("limit must be at least 1")
     total = lines.count()
     tail = lines.orderBy(*[F.desc(c) for c in order]).limit(limit)
-    trimmed = F.trim(F.col(line))
-    is_json = F.try_parse_json(trimmed).isNotNull()
-    return tail.select(
+    trimmed, is_json = F.trim(F.col(line)), F.col("is_json")
+    return parse_audit(tail, line).select(
         *order,
         F.when(is_json, trimmed).alias("entry"),
         F.when(~is_json, trimmed).alias("raw_message"),
