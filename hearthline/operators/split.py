@@ -102,6 +102,13 @@ def _greatest_keys(df: DataFrame, key: str, tied: Column, extra: int) -> list:
     return keys
 
 
+def _check_key(df: DataFrame, key: str, what: str) -> None:
+    """A key that repeats is an error wherever the thresholds fall; keys are counted with map-side partial sums."""
+    repeated = df.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{what} key {key!r} is not unique")
+
+
 def stratified_split(
     df: DataFrame, key: str = "id", target: str = S.TARGET, test_size: float = 0.2,
     validation_size: float = 0.1, seed: int = 42, task_rows: int = TASK_ROWS,
@@ -114,6 +121,7 @@ def stratified_split(
     narrow = df.selectExpr(
         name_sql(key), name_sql(target), *[f"{m} AS __{label}" for label, m in marks.items()]).persist()
     try:
+        _check_key(narrow, key, "split")
         edges, first = _edges(narrow, target, 10)
         n = first["rows"]
         if first["n_0"] < n:
@@ -170,6 +178,7 @@ def kfold_column(df: DataFrame, key: str = "id", k: int = 5, task_rows: int = TA
     ``key`` must be numeric and identify a row.
     """
     n = df.count()
+    _check_key(df, key, "fold")
     if n < k:
         raise ValueError(f"{n} rows cannot make {k} folds")
     sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]

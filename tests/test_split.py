@@ -94,3 +94,10 @@ def test_split_has_no_shuffle(spark):
     plan = split.stratified_split(houses(spark, 500).coalesce(1))._jdf.queryExecution().executedPlan().toString()
     above = plan.split("AdaptiveSparkPlan")[-1] if "AdaptiveSparkPlan" in plan else plan
     assert "Window" not in above and "SortMergeJoin" not in above
+
+
+def test_repeated_keys_always_raise(spark):
+    rows = spark.range(400).selectExpr("CASE WHEN id % 20 = 0 THEN 1 ELSE id END AS id", "cast(id * 7 % 101 AS double) AS price")
+    for call in (lambda: split.stratified_split(rows), lambda: split.kfold_assign(rows)):
+        with pytest.raises(ValueError, match="not unique"):
+            call()
