@@ -10,7 +10,7 @@ from hearthline.catalog.base import (
     over_audit, over_houses, predictions, query, rounded,
 )
 from hearthline.functions.columns import confidence
-from hearthline.operators import audit, metrics, models, preprocess, scoring
+from hearthline.operators import audit, metrics, models, preprocess, scoring, split
 from hearthline.plans import house
 from hearthline.session import scratch_path
 from hearthline.sources import state
@@ -140,13 +140,14 @@ _LEARN_SPLIT = (*FIT_CTES[:3], _LEARN_H, SPLIT_CTES[0].replace("FROM h)", "FROM
 
 
 @query("fit_linear", over_houses(
-    "SELECT round(regr_slope(price, sqft_above), 6) AS slope, round(regr_intercept(price, sqft_above), 3) AS intercept FROM h"))
+    f"SELECT id, round({LEARNABLE}, 1) AS fitted, TRUE AS within FROM hi", *FIT_CTES[:3]))
 def fit_linear(spark, folder):
-    estimator = models.build_models_from_config()["linear_regression"]
+    """All eleven features: what the fitted numbers give is the price, which follows from them."""
+    rows = learnable(imputed_houses(spark, folder))
     fitted = models.LinearFormula.of(
-        models.fit_model(houses(spark, folder), estimator, ["sqft_above"]), ["sqft_above"])
-    return rounded(spark.createDataFrame([(fitted.coefficients[0], fitted.intercept)], "slope double, intercept double"),
-                   {"slope": 6, "intercept": 3})
+        models.fit_model(rows, models.build_models_from_config()["linear_regression"]), S.FEATURES)
+    return rows.select("id", F.round(fitted.column(), 1).alias("fitted"),
+                       (F.abs(fitted.column() - F.col("price")) < 0.01).alias("within"))
 
 
 @query("predict_linear", over_houses(
@@ -158,14 +159,16 @@ def predict_linear(spark, folder):
     return models.predict(rows, model).select("id", F.round("y_pred", 1).alias("y_pred"))
 
 
-@query("cross_validate", over_houses("""SELECT f.fold, round(sqrt(avg((price - b - a * sqft_above) ** 2)), 4) AS rmse
-  FROM f JOIN (SELECT k.fold, regr_slope(f.price, f.sqft_above) AS a, regr_intercept(f.price, f.sqft_above) AS b
-  FROM f JOIN (SELECT DISTINCT fold FROM f) k ON f.fold <> k.fold GROUP BY k.fold) t ON f.fold = t.fold GROUP BY f.fold""",
-                                     "f AS (SELECT *, CAST(ntile(5) OVER (ORDER BY id) - 1 AS INTEGER) AS fold FROM h)"))
+@query("cross_validate", over_houses(
+    "SELECT fold, count(*) AS n, CAST(0 AS DOUBLE) AS rmse FROM f GROUP BY fold", *FIT_CTES[:3],
+    "f AS (SELECT CAST(ntile(5) OVER (ORDER BY id) - 1 AS INTEGER) AS fold FROM hi)"))
 def cross_validate(spark, folder):
-    rows = houses(spark, folder).select("id", "price", "sqft_above")
-    found = models.cross_validate(rows, models.build_models_from_config()["linear_regression"], ["sqft_above"])
-    return rounded(spark.createDataFrame(list(found.items()), "fold int, rmse double"), {"rmse": 4})
+    """All eleven features, five folds: a price that follows from them has no error on any fold."""
+    rows = split.kfold_assign(learnable(imputed_houses(spark, folder)))
+    found = models.cross_validate(rows, models.build_models_from_config()["linear_regression"])
+    errors = spark.createDataFrame(list(found.items()), "fold int, rmse double")
+    sizes = rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(sizes.join(F.broadcast(errors), "fold"), {"rmse": 1})
 
 
 @query("train_evaluate", over_houses("""SELECT split, count(*) AS n, CAST(1 AS DOUBLE) AS r2, CAST(0 AS DOUBLE) AS rmse
@@ -182,24 +185,24 @@ def train_evaluate(spark, folder):
 
 
 @query("save_model", over_houses("""SELECT 'linear_regression' AS name, 'LinearRegressionModel' AS kind, 11 AS n_features,
-  CAST(1 AS DOUBLE) AS r2_val, CAST(1 AS DOUBLE) AS r2_test, count(*) AS n_scored FROM h"""))
+  CAST(1 AS DOUBLE) AS r2_val, CAST(1 AS DOUBLE) AS r2_test, count(*) AS n_rows FROM h"""))
 def save_model(spark, folder):
     """The best model with its metadata, validation and test metrics apart."""
     out = scratch_path(spark, "model")
     ready = learnable_split(spark, folder)
-    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]}, k=0)
+    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]})
     state.save_model(spark, chosen.best, out, chosen.test)
     n = ready.count()
     return spark.read.parquet(f"{out}/models").select(
         "name", "kind", F.size("features").alias("n_features"), F.round("r2_val", 6).alias("r2_val"),
-        F.round(F.col("metrics_test")["r2"], 6).alias("r2_test"), F.lit(n).alias("n_scored"))
+        F.round(F.col("metrics_test")["r2"], 6).alias("r2_test"), F.lit(n).alias("n_rows"))
 
 
 @query("load_model", over_houses(f"SELECT id, round({LEARNABLE}, 1) AS y_pred FROM hi", *FIT_CTES[:3]))
 def load_model(spark, folder):
     out = scratch_path(spark, "model")
     ready = learnable_split(spark, folder)
-    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]}, k=0)
+    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]})
     state.save_model(spark, chosen.best, out, chosen.test)
     _, model, features = state.load_model(spark, out)
     return models.predict(ready, model, features).select("id", F.round("y_pred", 1).alias("y_pred"))
@@ -209,7 +212,7 @@ def load_model(spark, folder):
 def model_health(spark, folder):
     out = scratch_path(spark, "health")
     ready, fit = house.prepare(learnable(imputed_houses(spark, folder)))
-    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]}, k=0)
+    chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]})
     state.save_model(spark, chosen.best, out)
     state.save_fit_state(spark, fit, f"{out}/fit")
     scored = house.load_scorer(spark, out).predictions(houses(spark, folder))
@@ -217,65 +220,97 @@ def model_health(spark, folder):
     return state.model_health(spark, out, f"{out}/fit").withColumn("n", F.lit(n))
 
 
-def _trained_rows(spark, results):
-    return spark.createDataFrame(
-        [(r.name, s, m["rmse"], m["mae"], m["r2"], m["mape"]) for r in results.values() for s, m in r.metrics.items()],
-        "model string, split string, rmse double, mae double, r2 double, mape double")
+R2_FLOOR = 0.45
+_ABOVE = over_houses("SELECT m.model, split, count(*) AS n, TRUE AS above FROM sp, m WHERE {where} GROUP BY m.model, split",
+                     *_LEARN_SPLIT, "m AS (SELECT unnest({names}) AS model)")
+
+
+def _above(spark, scored):
+    """Rows of each model and split, and whether the fit explains the price."""
+    explained = 1 - F.sum((F.col("y") - F.col("y_pred")) ** 2) / (F.var_pop("y") * F.count("y"))
+    return scored.groupBy("model", "split").agg(F.count(F.lit(1)).alias("n"), (explained > R2_FLOOR).alias("above"))
 
 
 def _register_fit(name: str, key: str) -> None:
-    @query(key)
+    @query(key, _ABOVE.format(where="TRUE", names=[name]))
     def fit(spark, folder):
-        ready = models.training_input(learnable_split(spark, folder))
-        estimator = models.build_models_from_config()[name]
-        model = models.fit_model(ready.where(F.col("split") == "train"), estimator)
-        scored = models.predict(ready, model).select(
-            F.lit(name).alias("model"), "split", F.col("price").alias("y"), "y_pred")
-        return metrics.regression_metrics(scored)
+        ready = models.training_input(learnable_split(spark, folder), partitions=8)
+        try:
+            model = models.fit_model(ready.where(F.col("split") == "train"), models.build_models_from_config()[name])
+        finally:
+            ready.unpersist()
+        return _above(spark, models.predict(ready, model).select(
+            F.lit(name).alias("model"), "split", F.col("price").alias("y"), "y_pred"))
 
 
 _register_fit("random_forest", "fit_forest")
 _register_fit("gradient_boosting", "fit_gbt")
 
-# Fewer trees than configured, so that cross-validation and the grid stay quick on one machine.
-_SMALL = {
-    "linear_regression": models.MODEL_CONFIG["linear_regression"],
-    "random_forest": {"algorithm": "RandomForestRegressor", "hyperparameters": {
-        "n_estimators": 10, "max_depth": 5, "min_samples_leaf": 2, "max_features": "sqrt", "random_state": 42}},
-    "gradient_boosting": {"algorithm": "GradientBoostingRegressor", "hyperparameters": {
-        "n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "subsample": 0.8, "random_state": 42}},
-    "disabled": {"algorithm": "LinearRegression", "enabled": False},
-    "unknown": {"algorithm": "Perceptron"},
-}
+_VIEWS = over_houses("SELECT view, count(*) AS n, round(avg(price), 2) AS y_pred FROM h2 GROUP BY view",
+                     *FIT_CTES[:3], f"h2 AS (SELECT view, {LEARNABLE} AS price FROM hi)")
+
+
+def _register_exact(key: str, algorithm: str, settings: dict) -> None:
+    @query(key, _VIEWS)
+    def fit(spark, folder):
+        """One unsampled tree on one feature of few values predicts the mean price of each."""
+        rows = learnable(imputed_houses(spark, folder))
+        model = models.fit_model(rows, models.build_estimator(algorithm, settings), ["view"])
+        scored = models.predict(rows, model, ["view"]).groupBy("view").agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.avg("y_pred"), 2).alias("y_pred"))
+        return scored
 
 
-@query("build_models_from_config")
+_register_exact("fit_forest_one_tree", "RandomForestRegressor", {
+    "n_estimators": 1, "bootstrap": False, "max_depth": 5, "max_features": None, "random_state": 42})
+_register_exact("fit_gbt_one_round", "GradientBoostingRegressor", {
+    "n_estimators": 1, "learning_rate": 1.0, "max_depth": 5, "random_state": 42})
+
+_CONFIG = models.MODEL_CONFIG | {"disabled": {"algorithm": "LinearRegression", "enabled": False},
+                                 "unknown": {"algorithm": "Perceptron"}}
+
+
+@query("build_models_from_config", _ABOVE.format(where="split <> 'test'", names=sorted(models.MODEL_CONFIG)))
 def build_models_from_config(spark, folder):
-    """Every enabled and known model of a configuration, fitted; the others are left out."""
+    """Every enabled and known model of the configuration, fitted; the others are left out."""
     ready = learnable_split(spark, folder)
-    return _trained_rows(spark, models.train_all(ready, models.build_models_from_config(_SMALL), k=0))
+    results = models.train_all(ready, models.build_models_from_config(_CONFIG), k=0, partitions=8)
+    found = spark.createDataFrame([(r.name, s, bool(m["r2"] > R2_FLOOR)) for r in results.values() for s, m in r.metrics.items()],
+                                  "model string, split string, above boolean")
+    sizes = ready.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(sizes, "split").select("model", "split", "n", "above")
 
 
-@query("train_all")
+@query("train_all", over_houses("""SELECT m.model, m.model = 'linear_regression' AS is_best, TRUE AS cross_validated, count(*) AS n
+  FROM sp, m WHERE split = 'train' GROUP BY m.model""", *_LEARN_SPLIT, f"m AS (SELECT unnest({sorted(models.MODEL_CONFIG)}) AS model)"))
 def train_all(spark, folder):
-    """All models trained, cross-validated and compared, best first."""
-    chosen = house.train_and_select(learnable_split(spark, folder), _SMALL, k=3)
-    return chosen.comparison(spark).withColumn("is_best", F.col("model") == chosen.best.name)
+    """All configured models trained, cross-validated over five folds and compared; the price is linear."""
+    ready = learnable_split(spark, folder)
+    chosen = house.train_and_select(ready, _CONFIG, partitions=8)
+    n = ready.where(F.col("split") == "train").count()
+    return chosen.comparison(spark).select(
+        "model", (F.col("model") == chosen.best.name).alias("is_best"),
+        (F.col("cv_rmse_mean") >= 0).alias("cross_validated"), F.lit(n).alias("n"))
 
 
-@query("grid_search")
+@query("grid_search", over_houses("""SELECT learning_rate, n_estimators, count(*) AS n, TRUE AS measured
+  FROM sp, (SELECT unnest(['0.1', '0.3']) AS learning_rate), (SELECT unnest(['3', '6']) AS n_estimators)
+  WHERE split = 'train' GROUP BY ALL""", *_LEARN_SPLIT))
 def grid_search(spark, folder):
+    """A grid of boosting settings over five folds, two points at a time."""
     ready = learnable_split(spark, folder).where(F.col("split") == "train")
     found = models.grid_search(
         ready, "GradientBoostingRegressor", {"n_estimators": [3, 6], "learning_rate": [0.1, 0.3]},
-        {"max_depth": 3, "random_state": 42}, k=2)
-    return found.select(F.to_json("params").alias("params"), "cv_rmse_mean", "cv_rmse_std")
+        {"max_depth": 3, "random_state": 42}, parallelism=2, partitions=8)
+    return found.select(F.col("params")["learning_rate"].alias("learning_rate"), F.col("params")["n_estimators"].alias("n_estimators"),
+                        F.lit(ready.count()).alias("n"), (F.col("cv_rmse_mean") > 0).alias("measured"))
 
 
 # -- scoring -----------------------------------------------------------------------
 
 _RESPONSE = (f"SELECT id, md5(CAST(id AS VARCHAR)) AS request_id, round(prediction, 2) AS prix_predit, {TIER} AS confiance, "
-             "'linear_regression' AS modele_utilise, strftime(date, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp "
+             "'linear_regression' AS modele_utilise, strftime(date, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, "
+             "round((id % 40) / 3, 2) AS duration_ms "
              "FROM sc WHERE reasons = ''")
 _ROW_ID = "md5(CAST(id AS STRING))"
 
@@ -284,7 +319,7 @@ _ROW_ID = "md5(CAST(id AS STRING))"
 def batch_score(spark, folder):
     rows = houses(spark, folder)
     scorer = fixed_scorer(preprocess.fit_preprocessing(rows))
-    return scoring.batch_score(rows, scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",))[0]
+    return scoring.batch_score(rows, scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",), duration_ms=F.expr("(id % 40) / 3"))[0]
 
 
 @query("confidence_tier", over_houses(
@@ -364,6 +399,7 @@ def stream_score(spark, folder):
     out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-state")
     scorer = fixed_scorer(preprocess.fit_preprocessing(houses(spark, folder)))
     requests = houses_of(_stream_of(spark, folder, "orders"))
-    scored = flows.stream_score(requests, scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",))
+    scored = flows.stream_score(
+        requests, scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",), duration_ms=F.expr("(id % 40) / 3"))
     flows.write_stream(scored, out, checkpoint).awaitTermination()
     return spark.read.schema(scored.schema).parquet(out)

@@ -7,6 +7,7 @@ import logging
 import math
 import time
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 import numpy as np
@@ -243,17 +244,15 @@ def evaluate(df: DataFrame, model: Model, features: list[str], target: str = S.T
             for r in regression_metrics(scored, ("split",)).collect()}
 
 
-def training_input(df: DataFrame, key: str = "id", target: str = S.TARGET, features: list[str] = S.FEATURES) -> DataFrame:
+def training_input(df: DataFrame, key: str = "id", target: str = S.TARGET, features: list[str] = S.FEATURES,
+                   partitions: int | None = None) -> DataFrame:
     """What training reads, kept: derived splits and scaled features are computed once, not once per pass.
 
-    Rows that come in fewer partitions than there are cores are spread by key, as fitting
-    is bound by computation; a large input already has more and is not shuffled.
+    ``partitions`` spreads the rows by key, as fitting a small input is bound by computation. Bootstrap
+    and subsampling follow the partitions, so a given number makes fits repeat on another cluster.
     """
     narrow = df.select(*[quoted(c) for c in dict.fromkeys([key, target, "split", *features])])
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if narrow.rdd.getNumPartitions() < cores:
-        narrow = narrow.repartition(cores, key)
-    return narrow.persist()
+    return (narrow if partitions is None else narrow.repartition(partitions, key)).persist()
 
 
 def _trained(
@@ -271,23 +270,31 @@ def _trained(
 
 def train_evaluate(
     name: str, estimator: Estimator, df: DataFrame, features: list[str] = S.FEATURES, target: str = S.TARGET,
-    key: str = "id", k: int = 5,
+    key: str = "id", k: int = 5, partitions: int | None = None,
 ) -> Trained:
     """Fit on the train split, measure train and val, cross-validate on train."""
-    ready = training_input(df, key, target, features)
+    ready = training_input(df, key, target, features, partitions)
     try:
         return _trained(name, estimator, ready, features, target, key, k)
     finally:
         ready.unpersist()
 
 
+class Results(dict):
+    """The trained models by name; ``failed`` has the reasons of those that failed."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.failed: dict[str, str] = {}
+
+
 def train_all(
     df: DataFrame, estimators: dict[str, Estimator], features: list[str] = S.FEATURES, target: str = S.TARGET,
-    key: str = "id", k: int = 5,
-) -> dict[str, Trained]:
-    """Train every model; one that fails is logged and left out. Folds are assigned once."""
-    ready = training_input(df, key, target, features)
-    out = {}
+    key: str = "id", k: int = 5, partitions: int | None = None,
+) -> Results:
+    """Train every model; one that fails is logged, left out and named in ``failed``. Folds are assigned once."""
+    ready = training_input(df, key, target, features, partitions)
+    out = Results()
     try:
         folded = ready
         if k:
@@ -296,8 +303,9 @@ def train_all(
         for name, estimator in estimators.items():
             try:
                 out[name] = _trained(name, estimator, folded, features, target, key, k)
-            except Exception:
+            except Exception as failure:
                 log.exception("training failed: %s", name)
+                out.failed[name] = f"{type(failure).__name__}: {failure}"
     finally:
         ready.unpersist()
     return out
@@ -318,19 +326,30 @@ def grid_points(grid: dict[str, list]) -> list[dict[str, Any]]:
 
 
 def grid_search(
-    df: DataFrame, algorithm: str, grid: dict[str, list], base: dict[str, Any] | None = None,
+    df: DataFrame, algorithm: str, grid: dict[str, list] | None = None, base: dict[str, Any] | None = None,
     features: list[str] = S.FEATURES, target: str = S.TARGET, key: str = "id", k: int = 5,
+    parallelism: int = 1, partitions: int | None = None,
 ) -> DataFrame:
-    """Mean CV RMSE of every point of a grid, best first. Points Spark cannot tell apart are fitted once."""
-    folded = kfold_assign(df, key, k)
-    rows, seen = [], {}
-    for point in grid_points(grid):
-        estimator = build_estimator(algorithm, {**(base or {}), **point}, target)
-        ident = tuple(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items()))
-        if ident not in seen:
-            seen[ident] = list(cross_validate(folded, estimator, features, target, key, k).values())
-        scores = seen[ident]
-        rows.append(({a: str(b) for a, b in point.items()}, float(np.mean(scores)), float(np.std(scores))))
+    """Mean CV RMSE of every point of a grid, best first. Points Spark cannot tell apart are fitted once.
+
+    Without a grid the published one of the algorithm is searched (``GRIDS``). Folds and features are kept
+    once for all points, in ``partitions`` if given (sampling of rows follows them); ``parallelism``
+    points are fitted at a time.
+    """
+    folded = kfold_assign(df, key, k).select(key, target, "fold", *features)
+    folded = (folded if partitions is None else folded.repartition(partitions, key)).persist()
+    points = grid_points(GRIDS[algorithm] if grid is None else grid)
+    estimators = [build_estimator(algorithm, {**(base or {}), **p}, target) for p in points]
+    idents = [tuple(sorted((p.name, str(v)) for p, v in e.extractParamMap().items())) for e in estimators]
+    try:
+        with ThreadPool(parallelism) as pool:
+            different = dict(zip(idents, estimators))
+            found = dict(zip(different, pool.map(
+                lambda e: list(cross_validate(folded, e, features, target, key, k).values()), different.values())))
+    finally:
+        folded.unpersist()
+    rows = [({a: str(b) for a, b in point.items()}, float(np.mean(found[i])), float(np.std(found[i])))
+            for point, i in zip(points, idents)]
     table = df.sparkSession.createDataFrame(
         rows, "params map<string,string>, cv_rmse_mean double, cv_rmse_std double")
     return table.orderBy("cv_rmse_mean")

@@ -59,16 +59,20 @@ def _stamp(at: Column | None) -> Column:
 
 def batch_score(
     requests: DataFrame, scorer: Scorer, request_id: Column | None = None, at: Column | None = None,
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), duration_ms: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Responses for the valid requests, and the refused rows with their reasons.
 
+    ``duration_ms`` is what the caller measured for a request, null if nothing was.
+
     ``request_id`` defaults to a random one per row; give a column that follows from
     the row where a rerun must repeat it.
     """
     valid, refused = validate_ranges(requests)
-    scored = scorer.predictions(valid).withColumns(_response(request_id, at, scorer.name))
-    columns = [*keep, "request_id", "prix_predit", "confiance", "modele_utilise", "timestamp"]
+    took = F.lit(None).cast("double") if duration_ms is None else F.round(duration_ms, 2)
+    response = _response(request_id, at, scorer.name) | {"duration_ms": took}
+    scored = scorer.predictions(valid).withColumns(response)
+    columns = [*keep, *response]
     return scored.select(*[quoted(c) for c in columns]), refused
 
 

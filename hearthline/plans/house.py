@@ -16,7 +16,9 @@ from hearthline.operators.scoring import Scorer
 from hearthline.operators.split import stratified_split
 from hearthline.session import tune
 from hearthline.sources.files import scan_raw, scan_splits, sink_splits, sink_table
-from hearthline.sources.state import append_run, load_fit_state, load_model, save_fit_state, save_model, training_run
+from hearthline.sources.state import (
+    append_run, dataset_info, load_fit_state, load_model, save_fit_state, save_model, training_run,
+)
 
 
 def prepare(
@@ -61,10 +63,10 @@ class Selection:
 
 def train_and_select(
     ready: DataFrame, config: dict | None = None, features: list[str] = S.FEATURES, target: str = S.TARGET,
-    key: str = "id", k: int = 5,
+    key: str = "id", k: int = 5, partitions: int | None = None,
 ) -> Selection:
     estimators = build_models_from_config(target=target) if config is None else build_models_from_config(config, target)
-    results = train_all(ready, estimators, features, target, key, k)
+    results = train_all(ready, estimators, features, target, key, k, partitions)
     best = best_of(results)
     if best is None:
         raise ValueError("no model was trained")
@@ -81,8 +83,14 @@ def run_training(spark: SparkSession, raw_path: str, out: str, key: str = "id",
     save_fit_state(spark, fit, f"{out}/fit")
     chosen = train_and_select(scan_splits(spark, f"{out}/splits"), config, key=key)
     sink_table(chosen.comparison(spark).coalesce(1), f"{out}/comparison.csv")
+    facts = dataset_info(scan_splits(spark, f"{out}/splits"), S.FEATURES)
     for r in chosen.results.values():
-        append_run(spark, f"{out}/runs", f"train_{r.name}", **training_run(r))
+        run = training_run(r)
+        run["metrics"] |= facts
+        run["tags"] |= {"accepted": str(r.linear_ok)} if r.name == "linear_regression" else {}
+        append_run(spark, f"{out}/runs", f"train_{r.name}", **run)
+    for name, reason in chosen.results.failed.items():
+        append_run(spark, f"{out}/runs", f"train_{name}", name, tags={"failed": reason})
     append_run(spark, f"{out}/runs", f"test_{chosen.best.name}", chosen.best.name,
                metrics={f"test_{m}": v for m, v in chosen.test.items()}, tags={"final_evaluation": "true"})
     save_model(spark, chosen.best, out, chosen.test)

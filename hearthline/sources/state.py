@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import platform
+import uuid
+from collections.abc import Callable
 
 import pyspark
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +52,12 @@ def save_model(
     spark: SparkSession, trained: Trained, root: str, metrics_test: dict[str, float] | None = None,
     environment: dict[str, str] | None = None,
 ) -> str:
-    """The model by the ML writer, and one row about it in ``root``/models."""
-    path = f"{root}/model_{trained.name}"
-    trained.model.write().overwrite().save(path)
+    """The model by the ML writer, in a folder of its own, then one row about it in ``root``/models.
+
+    A row is written last and never points to files of a later save.
+    """
+    path = f"{root}/model_{trained.name}-{uuid.uuid4().hex}"
+    trained.model.write().save(path)
     versions = {"spark": pyspark.__version__, "python": platform.python_version(), **(environment or {})}
     row = (trained.name, type(trained.model).__name__, path, trained.features, trained.metrics["val"]["r2"],
            _numbers(trained.metrics["val"]), _numbers(metrics_test), trained.params, None, versions)
@@ -80,14 +86,16 @@ def load_model(spark: SparkSession, root: str, name: str | None = None):
 
 
 def model_health(spark: SparkSession, model_root: str, fit_path: str) -> DataFrame:
-    """One row: healthy only if a model and a fit state are both there."""
-    def there(path: str) -> bool:
+    """One row: healthy only if the best model and a fit state can both be loaded."""
+    def loads(load: Callable[[], object]) -> bool:
         try:
-            return bool(spark.read.parquet(path).take(1))
-        except AnalysisException:
+            load()
+        except (FileNotFoundError, AnalysisException, Py4JJavaError):
             return False
+        return True
 
-    model, fit = there(f"{model_root}/models"), there(fit_path)
+    model = loads(lambda: load_model(spark, model_root))
+    fit = loads(lambda: load_fit_state(spark, fit_path))
     return spark.range(1).select(
         F.lit("healthy" if model and fit else "unhealthy").alias("status"),
         F.lit(model).alias("model_loaded"), F.lit(fit).alias("fit_loaded"))

@@ -23,9 +23,9 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, file_forma
 
 
 def stream_score(requests: DataFrame, scorer: Scorer, request_id: Column | None = None, at: Column | None = None,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), duration_ms: Column | None = None) -> DataFrame:
     """Responses of the valid requests of a stream; stateless, the same expressions as in batch."""
-    return batch_score(requests, scorer, request_id, at, keep)[0]
+    return batch_score(requests, scorer, request_id, at, keep, duration_ms)[0]
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, file_format: str = "parquet") -> StreamingQuery:
