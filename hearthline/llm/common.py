@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hearthline.session import written
+from hearthline.session import discard, written
 
 BATCH_CONF, DEFAULT_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", 1000
 BYTES_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
@@ -43,28 +43,53 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """Each partition's edges (a, b) as a forest: every node to the smallest that it is connected with there."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def root(x):
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+        kind = None
+        for batch in found:
+            kind = batch.schema.field("a").type
+            for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist()):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        child = [x for x in parent if root(x) != x]
+        if child:
+            yield pa.RecordBatch.from_pydict({"a": pa.array(child, kind), "b": pa.array([root(x) for x in child], kind)})
+    return edges.mapInArrow(batches, edges.schema)
+
+
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): for every node of the edges (a, b) the smallest node that it is connected with.
 
-    Alternating large and small stars: each round links a node's larger neighbours, then its smaller
-    ones, to the smallest of them. Each round's edges are written to the shared folder, so a lost
-    executor costs one round. No node's neighbours are ever collected together: the minimum is an
-    aggregate with map-side partial sums, and the join back to it can be split where one node is hot.
+    First each partition's edges become a forest, at most one edge for each node there. Then large and
+    small stars alternate: a round links a node's larger neighbours, then its smaller ones, to the smallest
+    of them. Each round's edges are written to the shared folder, so a lost executor costs one round. No
+    node's neighbours are ever collected together: the minimum is an aggregate with map-side partial
+    minima, and the join back to it can be split where one node is hot.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .distinct(), "edges")
+    now = written(_forest(edges.select("a", "b").where("a <> b")).distinct(), "edges")
     mark = _mark(now)
-    for _ in range(rounds):
+    for _ in range(rounds if mark[0] else 0):
         both = now.union(now.selectExpr("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b").where("a <> b").distinct())
+        large = both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(down, "a").selectExpr("b AS a", "m AS b").where("a <> b")
+        small = (large.join(down, "a").where("b <> m").selectExpr("b AS a", "m AS b")
                  .union(down.selectExpr("a", "m AS b")).distinct())
-        now, before = written(small, "edges"), mark
+        last, now, before = now, written(small, "edges"), mark
+        discard(last)
         mark = _mark(now)
         if mark == before:
             break
     else:
-        raise ValueError(f"components did not settle in {rounds} rounds")
+        if mark[0]:
+            raise ValueError(f"components did not settle in {rounds} rounds")
     return now.selectExpr("a AS node", "b AS root").union(now.selectExpr("b AS node", "b AS root").distinct())
