@@ -12,7 +12,9 @@ a batch and then only gathered and compared for each document.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,22 +34,25 @@ class Sampler:
     """Signatures of texts: 16 bits for each sample."""
 
     def __init__(self, samples: int = SAMPLES, seed: int = 0):
-        self.samples, self.seeds = samples, stream(1000 + seed, 5 * samples).reshape(5, samples)
+        self.samples, self.seeds = samples, stream(1000 + seed, 2 * samples).reshape(2, samples)
         self.known = np.zeros(0, np.uint64)
         self.kept = np.zeros((0, samples), np.float32)
 
-    def _uniform(self, terms: np.ndarray, which: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            bits = mix(terms[:, None] + self.seeds[which][None, :])
-        return ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
+    def _shape(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """r, b and t of hashes, a column for each sample; the variates are parts of one mixed hash."""
+        bits = mix(terms + self.seeds[0])
+        u, v, b = (((bits >> np.uint64(k)) & np.uint64(0x1FFFFF)).astype(np.float32) + np.float32(0.5) for k in (43, 22, 1))
+        r = np.float32(42 * math.log(2)) - np.log(u) - np.log(v)
+        b *= np.float32(2.0 ** -21)
+        return r, b, np.floor(np.log(weights.astype(np.float32)) / r + b)
 
     def _values(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The logarithm of each sample's value for each term of its weight."""
-        r = -np.log(self._uniform(terms, 0) * self._uniform(terms, 1))
-        c = np.log(-np.log(self._uniform(terms, 2) * self._uniform(terms, 3)))
-        b = self._uniform(terms, 4)
-        t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + b)
-        return c - r * (t - b) - r
+        r, b, t = self._shape(terms[:, None], weights[:, None])
+        bits = mix(terms[:, None] + self.seeds[1])
+        u, v = ((x.astype(np.float32) + np.float32(0.5)) for x in (bits >> np.uint64(32), bits & np.uint64(0xFFFFFFFF)))
+        c = np.float32(64 * math.log(2)) - np.log(u) - np.log(v)
+        return np.log(np.maximum(c, np.float32(1e-30))) - r * (t - b + 1)
 
     def _looked_up(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         out = np.empty((len(terms), self.samples), np.float32)
@@ -85,24 +90,19 @@ class Sampler:
         values = self._looked_up(hashes[pick], weight[pick])
         self._keep(hashes[pick], weight[pick], values, uses)
         first = np.searchsorted(doc, np.arange(n + 1))
-        for k in np.flatnonzero(np.diff(first)):
-            own = back[first[k]:first[k + 1]]
-            least = np.argmin(values[own], axis=0)
-            # the sampled term with its t: y is the same whenever t is, so the weight enters by t only
-            terms, weights = hashes[first[k]:first[k + 1]][least], weight[first[k]:first[k + 1]][least]
-            out[k] = self._names(terms, weights)
+        some = np.flatnonzero(np.diff(first))
+        least = np.stack([first[k] + np.argmin(values[back[first[k]:first[k + 1]]], axis=0) for k in some])
+        # a sample is the term with its t; the weight enters by t only
+        _, _, t = self._shape(hashes[least], weight[least])
+        names = mix(hashes[least] ^ (t.astype(np.int64).astype(np.uint64) << np.uint64(1)))
+        out[some] = (names % np.uint64(EMPTY)).astype(np.uint16)
         return out
 
-    def _names(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        columns = np.arange(self.samples)
 
-        def uniform(which: int) -> np.ndarray:
-            with np.errstate(over="ignore"):
-                bits = mix(terms + self.seeds[which][columns])
-            return ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
-        r = -np.log(uniform(0) * uniform(1))
-        t = np.floor(np.log(weights.astype(np.float32)) / r + uniform(4)).astype(np.int64)
-        return (mix(terms ^ (t.astype(np.uint64) << np.uint64(1))) % np.uint64(EMPTY)).astype(np.uint16)
+@cache
+def _sampler(samples: int, seed: int) -> Sampler:
+    """One for each Python worker, which keeps it from task to task."""
+    return Sampler(samples, seed)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,12 +122,10 @@ def fingerprint(docs: DataFrame, samples: int = SAMPLES, seed: int = 0) -> DataF
     Null and repeated ids are kept as they are; other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    state: list[Sampler] = []
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state[:] = state or [Sampler(samples, seed)]
         for b in found:
-            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "fingerprint": _hex(state[0].signatures(b["text"]))})
+            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "fingerprint": _hex(_sampler(samples, seed).signatures(b["text"]))})
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         batches, "doc_id long, fingerprint string")
 
@@ -166,7 +164,6 @@ def edited_likeness(docs: DataFrame, samples: int = SAMPLES, seed: int = 0) -> D
     text and of the next document. A null text counts as empty. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    state: list[Sampler] = []
 
     def rows(found: list[tuple]) -> pa.RecordBatch | None:
         """Of (part, extra, doc_id, text): all but the last, which only follows."""
@@ -175,8 +172,9 @@ def edited_likeness(docs: DataFrame, samples: int = SAMPLES, seed: int = 0) -> D
         if not own:
             return None
         edited = [texts[k][:len(texts[k]) - len(texts[k]) // 3] + texts[k + 1][:len(texts[k]) // 3] for k in own]
-        plain = state[0].signatures(pa.array(texts, pa.large_string()))
-        changed = state[0].signatures(pa.array(edited, pa.large_string()))
+        sampler = _sampler(samples, seed)
+        every = sampler.signatures(pa.array(texts + edited, pa.large_string()))
+        plain, changed = every[:len(texts)], every[len(texts):]
         here = plain[own]
         return pa.RecordBatch.from_pydict({
             "doc_id": pa.array([found[k][2] for k in own], pa.int64()),
@@ -186,7 +184,6 @@ def edited_likeness(docs: DataFrame, samples: int = SAMPLES, seed: int = 0) -> D
             "near_edited": likeness(here, changed), "near_next": likeness(here, plain[np.array(own) + 1])})
 
     def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state[:] = state or [Sampler(samples, seed)]
         held: list[tuple] = []
         for b in batches:
             held += zip(*(b[c].to_pylist() for c in ("part", "extra", "doc_id", "text")))
