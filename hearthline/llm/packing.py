@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -23,11 +23,11 @@ from hearthline.llm.common import map_batches, small_batches
 from hearthline.llm.words import mix
 
 GROUP_DOCS = 1024  # documents of a group, about
-CACHED_WORDS = 500_000  # distinct words whose ids a Python worker keeps
+CACHED_WORDS = 1_000_000  # distinct words whose ids a Python worker keeps
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def _byte_chars() -> dict[int, int]:
@@ -50,7 +50,7 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
-        self.mark = cache(self._ids)
+        self.mark = lru_cache(10_000)(self._ids)
         self.lower = self._ids("ABC ÉA z") == self._ids("abc Éa z")
         self.plain = self._splits_plainly()
         self.known: dict[bytes, int] = {}
@@ -60,12 +60,14 @@ class WordTokens:
         return self.encoder.encode(word, add_special_tokens=False).ids
 
     def _plain_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.encoder.model.tokenize(word.lower().encode().decode("latin-1").translate(BYTE_CHARS))]
+        if not word.isascii():
+            word = word.lower().encode().decode("latin-1").translate(BYTE_CHARS)
+        return [t.id for t in self.encoder.model.tokenize(word)]
 
     def _splits_plainly(self) -> bool:
-        """Whether a Latin word is one unit of the vocabulary model, apart from a stop or comma after it."""
-        return all(self._ids(w + m) == self._plain_ids(w) + self._ids(m)
-                   for w in ("the", "Éléonore", "ünßþÿ", "straße", "niño", "x") for m in ("", ".", ","))
+        """Whether a Latin word is one unit of the vocabulary model, apart from ASCII marks after it."""
+        return self.lower and all(self._ids(w + m) == self._plain_ids(w) + (self._ids(m) if m else [])
+                                  for w in ("the", "Éléonore", "ünßþÿ", "straße", "niño", "x") for m in ("", ".", "!?,", "'", "%%%", "_"))
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found: list[list[int] | None] = []
@@ -83,17 +85,18 @@ class WordTokens:
         split = [x.lower().split() if self.lower and b"<|" not in x else x.split() for x in ((t or "").encode() for t in texts)]
         words = [w for x in split for w in x]
         index = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        new = list(dict.fromkeys(words[k] for k in np.flatnonzero(index < 0)))
+        missing = np.flatnonzero(index < 0)
+        lost = [words[k] for k in missing.tolist()]
         ids, at = self.ids, self.at
-        if new:
+        if lost:
+            new = list(dict.fromkeys(lost))
             more, ends = self._encode(new)
             ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + ends])
             places = {w: len(self.at) - 1 + k for k, w in enumerate(new)}
             if len(self.known) + len(new) <= CACHED_WORDS or not self.known:
                 self.known.update(places)
                 self.ids, self.at = ids, at
-            missing = np.flatnonzero(index < 0)
-            index[missing] = [places[words[k]] for k in missing]
+            index[missing] = np.fromiter(map(places.__getitem__, lost), np.int64, len(lost))
         size = at[index + 1] - at[index]
         total = np.cumsum(size)
         flat = ids[np.arange(int(size.sum())) + np.repeat(at[index] - total + size, size)]
@@ -102,6 +105,12 @@ class WordTokens:
         return np.insert(flat, ends, end), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
 
 
+@cache
+def _word_tokens(path: str) -> WordTokens:
+    """One for each Python worker, which keeps it from task to task."""
+    return WordTokens(path)
+
+
 def first_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
     """The indices of the items of each bin. The tree's nodes hold the most room of any bin below."""
     leaves = 1 << max(0, (len(sizes) - 1).bit_length())
@@ -179,12 +188,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 1, seed
     spark = small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     groups = max(1, -(-docs.count() // GROUP_DOCS))
-    state: dict[str, WordTokens] = {}
 
     def tokenise(b: pa.RecordBatch) -> pa.RecordBatch:
-        if tokenizer not in state:
-            state[tokenizer] = WordTokens(tokenizer)
-        ids, first = state[tokenizer].batch(b["text"].to_pylist(), end)
+        ids, first = _word_tokens(tokenizer).batch(b["text"].to_pylist(), end)
         doc, start, size, crc, rest = [], [], [], [], []
         for k in range(len(first) - 1):
             for a in range(int(first[k]), int(first[k + 1]), length):
