@@ -37,10 +37,16 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(batches, schema)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Tells two sets of edges apart."""
-    h = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())
+def _few(df: DataFrame) -> DataFrame:
+    """Fewer partitions for what is small next to the tables it comes from."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none of its own."""
+    each = edges.groupBy("a").agg(F.count("*").alias("n"))
+    return (each.where("n > 1").isEmpty()
+            and edges.select("b").distinct().join(each.select(F.col("a").alias("b")), "b", "left_semi").isEmpty())
 
 
 def _forest(edges: DataFrame) -> DataFrame:
@@ -75,21 +81,16 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     node's neighbours are ever collected together: the minimum is an aggregate with map-side partial
     minima, and the join back to it can be split where one node is hot.
     """
-    now = written(_forest(edges.select("a", "b").where("a <> b")).distinct(), "edges")
-    mark = _mark(now)
-    for _ in range(rounds if mark[0] else 0):
+    now = written(_few(_forest(_few(edges.select("a", "b").where("a <> b"))).distinct()), "edges")
+    for _ in range(rounds):
+        if _settled(now):
+            return now.selectExpr("a AS node", "b AS root").union(now.selectExpr("b AS node", "b AS root").distinct())
         both = now.union(now.selectExpr("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(down, "a").where("b <> m").selectExpr("b AS a", "m AS b")
                  .union(down.selectExpr("a", "m AS b")).distinct())
-        last, now, before = now, written(small, "edges"), mark
+        last, now = now, written(_few(small), "edges")
         discard(last)
-        mark = _mark(now)
-        if mark == before:
-            break
-    else:
-        if mark[0]:
-            raise ValueError(f"components did not settle in {rounds} rounds")
-    return now.selectExpr("a AS node", "b AS root").union(now.selectExpr("b AS node", "b AS root").distinct())
+    raise ValueError(f"components did not settle in {rounds} rounds")

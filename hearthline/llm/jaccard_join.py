@@ -92,21 +92,21 @@ def _profiles(docs: DataFrame, classes: Classes, n: int, percent: int) -> DataFr
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) once for each of the nodes, and for few others."""
+    """(set, shingles) once for each of the sets in ``nodes``, and for few others."""
     def node_hash(column) -> np.ndarray:
         return mix(np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2)[:, 0].astype(np.uint64))
     wanted = docs.sparkSession.sparkContext.broadcast(
-        count_min(nodes, lambda b: node_hash(b["node"]), bits=NODE_BITS, levels=(1, 2, 3)))
+        count_min(nodes, lambda b: node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch | None:
         first, found = shingles(b["text"], n)
         ids = set_ids(first, found)
         keep = np.flatnonzero((wanted.value.of(node_hash(ids)) > 0) & (np.diff(first) > 0))
         return pa.RecordBatch.from_pydict({
-            "node": ids.take(pa.array(keep)),
+            "set": ids.take(pa.array(keep)),
             "shingles": pa.array([found[first[k]:first[k + 1]].tobytes() for k in keep], pa.binary())})
-    found = map_batches(docs.select("text"), batch, "node binary, shingles binary")
-    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    found = map_batches(docs.select("text"), batch, "set binary, shingles binary")
+    return found.groupBy("set").agg(F.first("shingles").alias("shingles"))
 
 
 def link_block(sets: list[np.ndarray], percent: int, split: int | None = None) -> list[tuple[int, int]]:
@@ -172,7 +172,7 @@ def link_block(sets: list[np.ndarray], percent: int, split: int | None = None) -
 
 
 def _tiles(candidates: DataFrame) -> DataFrame:
-    """(node, root, c, i, d, j, second): which tiles each candidate (node, root, class, n_shingles) is in.
+    """(node, set, root, c, i, d, j, second): which tiles each candidate (node, set, root, class, n_shingles) is in.
 
     A component that fits a block is one tile. A larger one is cut by size class and, within it, by hash;
     its blocks meet the others of their class and of the next ones. Tile (c, i, d, j) compares block i of
@@ -189,7 +189,7 @@ def _tiles(candidates: DataFrame) -> DataFrame:
     own = tile.format("class", "least(block, x)", "class", "greatest(block, x)", "x < block")
     above = tile.format("class", "block", "class + 1", "x", "false")
     below = tile.format("class - 1", "x", "class", "block", "true")
-    return placed.selectExpr("node", "root", f"""inline(CASE WHEN all = 1 THEN array({tile.format(0, 0, 0, 0, 'false')})
+    return placed.selectExpr("node", "set", "root", f"""inline(CASE WHEN all = 1 THEN array({tile.format(0, 0, 0, 0, 'false')})
         ELSE concat(transform(sequence(0, own - 1), x -> {own}),
             CASE WHEN above > 0 THEN transform(sequence(0, above - 1), x -> {above}) ELSE array() END,
             CASE WHEN below > 0 THEN transform(sequence(0, below - 1), x -> {below}) ELSE array() END) END)""")
@@ -206,8 +206,8 @@ def _verified(items: DataFrame, percent: int) -> DataFrame:
             alone = (rows[0]["c"], rows[0]["i"]) == (rows[0]["d"], rows[0]["j"])
             links = link_block([np.frombuffer(r["shingles"], np.uint64) for r in rows], percent,
                                None if alone else split) if alone or 0 < split < len(rows) else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([rows[a]["node"] for a, _ in links], pa.binary()),
-                                               "b": pa.array([rows[b]["node"] for _, b in links], pa.binary())})
+            return pa.RecordBatch.from_pydict({"a": pa.array([rows[a]["node"] for a, _ in links], pa.int64()),
+                                               "b": pa.array([rows[b]["node"] for _, b in links], pa.int64())})
         held: list[dict] = []
         for b in batches:
             for row in b.to_pylist():
@@ -218,7 +218,7 @@ def _verified(items: DataFrame, percent: int) -> DataFrame:
                 held.append(row)
         if len(held) > 1:
             yield out(held)
-    return items.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles, "a binary, b binary")
+    return items.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -236,6 +236,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
+    # a short name for each set; written, so that it stays
+    sets = written(sets.withColumnRenamed("node", "set").withColumn("node", F.monotonically_increasing_id()), "sets")
     # linked sets are of the same size class or of neighbouring ones
     sets = sets.withColumn("class", F.expr(f"cast(floor(ln(n_shingles) / -ln({percent} / 100D) + 1e-9) AS int)"))
     tokens = sets.select("node", "class", F.explode("tokens").alias("token")).withColumn(
@@ -243,15 +245,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     stars = (tokens.groupBy("token", "class").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1")
              .drop("n"))
     edges = tokens.join(stars, ["token", "class"]).where("node <> star").selectExpr("node AS a", "star AS b")
-    candidates = written(connected(edges).join(sets.select("node", "class", "n_shingles"), "node"), "candidates")
-    items = _tiles(candidates).join(_sets(docs, candidates.select("node"), n), "node")
+    candidates = written(connected(edges).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
+    items = _tiles(candidates).join(_sets(docs, candidates.select("set"), n), "set").drop("set")
     linked = connected(_verified(items, percent))
-    least = sets.select("node", "least")
+    least = sets.select("node", "set", "least")
     groups = linked.join(least, "node")
     groups = groups.join(groups.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
-    found = least.join(groups, "node", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    rows = rows.select("doc_id", "n_shingles", "node")
-    return (rows.join(found.withColumn("some", F.lit(True)), "node", "left")
+    found = least.join(groups, "node", "left").select("set", F.coalesce("component", "least").alias("component_id"))
+    rows = rows.select("doc_id", "n_shingles", F.col("node").alias("set"))
+    return (rows.join(found.withColumn("some", F.lit(True)), "set", "left")
             .select("doc_id", "n_shingles", F.when(F.col("some"), F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id")))
 
