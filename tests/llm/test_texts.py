@@ -48,7 +48,7 @@ def test_base_secrets(spark):
 
 
 def test_secrets_by_ownership(spark):
-    shared, own, dull = "ghp_" + "aB3dE5fG7h" * 4, "ghp_" + "Zy9Xw8Vu7T" * 4, "ghp_" + "a" * 40
+    shared, own, dull = "ghp_" + "aB3dE5fG7h" * 4, "ghp_" + "Zy9Xw8Vu7T" * 4, "ghp_" + "z" * 40
     rows = [(k, f"use {shared} here", f"s{k}") for k in range(4)] + [(10, f"my {own}", "s1"), (11, f"again {own}", "s1"), (12, dull, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS hash", "2 AS n")
     got = {r.doc_id: r for r in secrets.scan_secrets(df).collect()}
