@@ -28,7 +28,7 @@ log = logging.getLogger(__name__)
 VECTOR = "__features"
 VALIDATION = "__validation"
 
-# Hyperparameters of the three models and the grids to search.
+# Hyperparameters of the three models and, by algorithm, the grids to search.
 MODEL_CONFIG: dict[str, dict[str, Any]] = {
     "linear_regression": {
         "algorithm": "LinearRegression", "enabled": True, "hyperparameters": {"fit_intercept": True},
@@ -45,11 +45,11 @@ MODEL_CONFIG: dict[str, dict[str, Any]] = {
     },
 }
 GRIDS: dict[str, dict[str, list]] = {
-    "random_forest": {
+    "RandomForestRegressor": {
         "n_estimators": [50, 100, 200], "max_depth": [5, 8, 10, 15], "min_samples_split": [2, 5, 10],
         "min_samples_leaf": [1, 2, 4], "max_features": ["sqrt", "log2", 0.3],
     },
-    "gradient_boosting": {
+    "GradientBoostingRegressor": {
         "n_estimators": [30, 50, 100], "max_depth": [3, 4, 6], "learning_rate": [0.01, 0.05, 0.1, 0.2],
         "subsample": [0.7, 0.8, 0.9], "max_features": ["sqrt", "log2", None],
     },

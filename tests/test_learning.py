@@ -127,6 +127,16 @@ def test_grid_points_spark_cannot_tell_apart_are_fitted_once(spark, monkeypatch)
     assert len(calls) == 2 and out.count() == 4
 
 
+@pytest.mark.parametrize("algorithm, size, fitted", [("RandomForestRegressor", 324, 108), ("GradientBoostingRegressor", 324, 324)])
+def test_without_a_grid_the_published_one_is_searched(spark, monkeypatch, algorithm, size, fitted):
+    df, _, _ = learnable(spark, 120)
+    calls = []
+    monkeypatch.setattr(models, "cross_validate", lambda *a, **k: calls.append(1) or {0: 1.0, 1: 2.0})
+    out = models.grid_search(df, algorithm, k=2)
+    points = {tuple(sorted(r.params.items())) for r in out.collect()}
+    assert len(points) == size and len(calls) == fitted  # min_samples_split, which Spark lacks, only repeats points
+
+
 def test_grid_search_finds_the_better_point(spark):
     df, _, _ = learnable(spark, 200)
     out = models.grid_search(df, "GradientBoostingRegressor", {"n_estimators": [1, 8]}, {"max_depth": 2, "learning_rate": 0.5, "random_state": 1}, k=2)
