@@ -1,7 +1,7 @@
 """Secrets in texts, told apart from examples by who owns them across the whole corpus.
 
-Candidates are found by pattern; each is named by a hash of its secret part. Over all documents the
-distinct repositories and owners of each hash are counted. A value that many owners share is an example
+Candidates are found by pattern; each is named by a hash of its secret part, a private key by its whole body.
+Over all documents the distinct repositories and owners of each hash are counted. A value that many owners share is an example
 that has been copied; a high-entropy value of one owner looks live. Beyond the base patterns, looser ones
 propose further candidates, which count only when their ownership makes them look live.
 """
@@ -30,10 +30,13 @@ MORE = {
     "slack": re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     "google": re.compile(r"AIza[A-Za-z0-9_-]{35}"),
     "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),  # the secret is what key_body finds after it
 }
 HINTS = {"github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), "slack": ("xox",), "google": ("AIza",), "jwt": ("eyJ",),
          "private_key": ("-----BEGIN ",)}
+KEY_MARKS = re.compile(r"""\\+[nrt]|["'`]\s*\+|["'`,>|#*\\]""")  # line ends that are escaped, quoting and joining of lines
+KEY_LINES = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}(?:\s+[A-Za-z0-9+/]{16,}={0,2})*(?:\s+[A-Za-z0-9+/]+={1,2}(?![A-Za-z0-9+/=]))?")
+NOT_KEY = re.compile("[^A-Za-z0-9+/=]+")
 KEYWORDS = re.compile("password|passwd|secret|token|api_?key", re.I | re.A)
 
 MANY_OWNERS = 3  # distinct owners from which a value is an example
@@ -41,6 +44,20 @@ LIVE_BITS = 3.0  # entropy a character of a value that looks live
 HOT_SHARE = 1000  # a hash with more than one in so many candidates is joined by broadcast: there are fewer than that
 
 
+def key_body(text: str, at: int) -> str:
+    """The base64 of the private key whose header ends at ``at``, whole and however its lines are cut and quoted.
+
+    Without an end mark, as in a text that was cut, it is the first run of long base64 lines. Empty where only
+    the header is named.
+    """
+    stop = text.find("-----", at)
+    body = KEY_MARKS.sub(" ", text[at:stop if stop >= 0 else len(text)])
+    if stop < 0 or not text.startswith("-----END", stop):
+        lines = KEY_LINES.search(body)
+        body = lines[0] if lines else ""
+    return NOT_KEY.sub("", body)
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, secret) by start, base kinds first; ends are exclusive, in code points."""
     found = []
@@ -50,7 +67,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int, str]]:
     found += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     for kind, pattern in MORE.items():
         if any(h in text for h in HINTS[kind]):
-            found += [(kind, m.start(), m.end(), m[0]) for m in pattern.finditer(text)]
+            found += [(kind, m.start(), m.end(), key_body(text, m.end()) if kind == "private_key" else m[0])
+                      for m in pattern.finditer(text)]
+    found = [x for x in found if x[3]]
     order = {k: n for n, k in enumerate((*BASE, *MORE))}
     return sorted(found, key=lambda x: (x[1], order[x[0]]))
 
