@@ -39,7 +39,7 @@ QUOTES = "\"“”«»„"
 NEAR = 3  # words that a negation or a target reaches
 WORD = re.compile(rf"[^\W\d_]+|[{QUOTES}]")
 CLAUSE_END = re.compile(r"[.!?;\n]")
-BEFORE = " \n\t\r\"'([{*#_-/|“«„$%&>"  # what may stand before a word
+NO_LETTER = re.compile(r"[^\w ]|[\d_]")  # any but the space; what WORD takes for a letter is neither
 
 
 class Transducer:
@@ -119,8 +119,7 @@ class Scorer:
         import ahocorasick
         self.grammar, self.machine = grammar(), ahocorasick.Automaton()
         for stem in {*self.lexicon.stems, *self.lexicon.words, *THREATS}:
-            for before in BEFORE:
-                self.machine.add_word(before + stem, len(stem))
+            self.machine.add_word(" " + stem, len(stem))
         self.machine.make_automaton()
 
     def features(self, text: str | None) -> np.ndarray:
@@ -128,7 +127,7 @@ class Scorer:
         if self.machine is None:
             self._start()
         out, low, done, weights, words = Counter(), "\n" + (text or "").lower(), -1, [], set()
-        for end, size in self.machine.iter(low):
+        for end, size in self.machine.iter(NO_LETTER.sub(" ", low)):  # a word may follow whatever is no letter
             at = end - size + 1
             if at < done:
                 continue

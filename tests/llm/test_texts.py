@@ -216,6 +216,20 @@ def test_grammar(text, want):
     assert some == {"Ta": {"Ia"}, "N": {"In"}, "A": {"I", "A"}, "r": {"Ira"} if "he" in text else {"Ir"}, "X": {"X"}}[want]
 
 
+def test_words_after_any_non_letter():
+    scorer = toxicity.Scorer(toxicity.Lexicon({"moro": 2.0}, {"idiot": 3.0, "idiota": 3.0}))
+    want = scorer.features("x idiot")
+    assert want[toxicity.FEATURES.index("hits")] > 0
+    for c in map(chr, range(0x3000)):
+        if not toxicity.WORD.fullmatch(c) or c in toxicity.QUOTES:
+            if c.lower() == c and c not in toxicity.QUOTES:
+                assert np.array_equal(scorer.features(f"x{c}idiot"), want), hex(ord(c))
+        elif c.lower() == c:
+            assert scorer.features(f"x{c}idiot")[toxicity.FEATURES.index("hits")] == 0, hex(ord(c))
+    for text in ("\u00a1idiota!", "quel l\u2019idiot", "...moron", "\u2018idiot", "so\u2014idiot", "\u2026idiot", "a,idiot", "a:idiot", "1idiot", "\u00a0idiot"):
+        assert scorer.features(text)[toxicity.FEATURES.index("hits")] > 0, text
+
+
 def test_composition_equals_one_after_another():
     rng, machine = random.Random(2), toxicity.grammar()
     for _ in range(200):
