@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by five-word shingles, similarity 0.8, the one of smallest id."""
-    return jaccard_join.one_of_each(docs, n=5, percent=80)
+    return jaccard_join.first_of_each(docs, n=5, percent=80)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,8 +72,9 @@ def needed(n, percent: int):
 
 
 def _profiles(docs: DataFrame, classes: Classes, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, node, tokens): each document's set and the shared shingles of its prefix."""
+    """(<columns of docs but text>, n_shingles, node, tokens): each document's set and the shared shingles of its prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
+    names = [c for c in docs.columns if c != "text"]
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         first, found = shingles(b["text"], n)
@@ -86,9 +87,9 @@ def _profiles(docs: DataFrame, classes: Classes, n: int, percent: int) -> DataFr
         tokens = found[order][keep].view(np.int64)
         at = np.searchsorted(doc[keep], np.arange(len(size) + 1))
         return pa.RecordBatch.from_pydict({
-            "doc_id": b["doc_id"].cast(pa.int64()), "n_shingles": pa.array(size, pa.int64()), "node": set_ids(first, found),
+            **{c: b[c].cast(pa.int64()) for c in names}, "n_shingles": pa.array(size, pa.int64()), "node": set_ids(first, found),
             "tokens": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens))})
-    return map_batches(docs, batch, "doc_id long, n_shingles long, node binary, tokens array<long>")
+    return map_batches(docs, batch, ", ".join(f"{c} long" for c in names) + ", n_shingles long, node binary, tokens array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -221,17 +222,12 @@ def _verified(items: DataFrame, percent: int) -> DataFrame:
     return items.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
+def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, sets, linked) of ``docs`` (doc_id, text and other whole numbers).
 
-    Two documents link when 100 * |intersection| >= percent * |union| of their distinct n-word shingles,
-    words being cut at ASCII white space after lower-casing A-Z. component_id is the smallest doc_id
-    reachable by links. A null text, or one without words, has no shingle and links with nothing: its
-    component is its own doc_id. Equal sets always link. A null doc_id never names a component unless
-    all ids of it are null. Rows that repeat a doc_id are documents of their own. Other columns are ignored.
+    ``rows`` has the columns of ``docs`` but text, n_shingles and the set; ``sets`` (node, set, least) each set
+    once with its smallest doc_id; ``linked`` (node, root) the components of sets that are linked with others.
     """
-    spark = small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
     classes = count_min(docs.select("text"), lambda b: shingles(b["text"], n)[1], bits=BITS)
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
@@ -248,11 +244,24 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     candidates = written(connected(edges).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
     items = _tiles(candidates).join(_sets(docs, candidates.select("set"), n), "set").drop("set")
     linked = connected(_verified(items, percent))
-    least = sets.select("node", "set", "least")
+    return rows.withColumnRenamed("node", "set").drop("tokens"), sets.select("node", "set", "least"), linked
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
+
+    Two documents link when 100 * |intersection| >= percent * |union| of their distinct n-word shingles,
+    words being cut at ASCII white space after lower-casing A-Z. component_id is the smallest doc_id
+    reachable by links. A null text, or one without words, has no shingle and links with nothing: its
+    component is its own doc_id. Equal sets always link. A null doc_id never names a component unless
+    all ids of it are null. Rows that repeat a doc_id are documents of their own. Other columns are ignored.
+    """
+    small_batches(docs.sparkSession)
+    rows, least, linked = _linked(docs.select("doc_id", "text"), n, percent)
     groups = linked.join(least, "node")
     groups = groups.join(groups.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
     found = least.join(groups, "node", "left").select("set", F.coalesce("component", "least").alias("component_id"))
-    rows = rows.select("doc_id", "n_shingles", F.col("node").alias("set"))
+    rows = rows.select("doc_id", "n_shingles", "set")
     return (rows.join(found.withColumn("some", F.lit(True)), "set", "left")
             .select("doc_id", "n_shingles", F.when(F.col("some"), F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id")))
@@ -261,8 +270,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Of each component of ``docs`` (doc_id, text and any other columns) the rows with its smallest doc_id, once each.
 
-    Rows with a null doc_id stay unless they are linked with one that has an id; repeated rows, equal in
-    doc_id and text, become one.
+    Rows with a null doc_id all stay, and so do all texts of a kept doc_id; repeated rows, equal in doc_id and
+    text, become one. ``first_of_each`` keeps one row of each component.
     """
     found = jaccard_components(docs, n, percent)
     ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
@@ -271,3 +280,24 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     kept = whole.join(ids, F.col("id") == F.col("kept_id"), "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
     nameless = whole.where("id IS NULL")
     return kept.select("row.*").union(nameless.select("row.*"))
+
+
+def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Of each component of ``docs`` (doc_id, text and any other columns) exactly one row, that of smallest doc_id.
+
+    A row with a null doc_id stays only for a component whose ids are all null. A text without words links with
+    nothing and stays; of such rows that are equal in doc_id and text one does, unless the doc_id is null.
+    """
+    small_batches(docs.sparkSession)
+    number = "row_number"
+    while number in {c.lower() for c in docs.columns}:
+        number += "_"
+    whole = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")  # written, so that numbers stay
+    rows, sets, linked = _linked(whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+                                              F.col(number).alias("number"), "text"), n, percent)
+    roots = sets.join(linked, "node", "left").select("set", F.coalesce("root", "node").alias("root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "number"))["number"].alias(number)
+    own = F.when(F.col("doc_id").isNull(), F.col("number"))
+    kept = (rows.join(roots, "set").groupBy("root").agg(first).select(number)
+            .union(rows.where("n_shingles = 0").groupBy("doc_id", "text_hash", own).agg(first).select(number)))
+    return whole.join(kept, number, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

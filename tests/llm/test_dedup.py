@@ -45,6 +45,21 @@ def test_jaccard_odd_rows(spark):
     assert kept.columns == table(spark, rows).columns
 
 
+def test_one_row_of_each_component(spark):
+    import corpus_pipeline
+    b = " ".join(f"w{k}" for k in range(30))
+    near = b + " end"  # linked with b
+    rows = [(None, "a b c d e f"), (7, "A b c d e f"), (7, "other words of the same id here"), (7, "a b c d e f"), (3, None), (3, None),
+            (None, None), (None, "no one else has this text"), (None, "no one else has this text"), (4, b), (7, near), (None, near), (4, near)]
+    docs = table(spark, rows).selectExpr("*", "9 AS row_number")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    got = sorted((str(r.doc_id), str(r.text).lower()) for r in kept.collect())
+    assert [x for x in got if not x[1].startswith("w0")] == sorted([
+        ("7", "a b c d e f"), ("7", "other words of the same id here"), ("3", "none"), ("None", "none"), ("None", "no one else has this text")])
+    assert [i for i, t in got if t.startswith("w0")] == ["4"]
+    assert kept.columns == docs.columns
+
+
 def test_link_block_finds_the_components():
     rng, random_ = np.random.default_rng(1), random.Random(2)
     for _ in range(60):
