@@ -37,9 +37,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(batches, schema)
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Fewer partitions for what is small next to the tables it comes from."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+FOREST_NODES = 1_000_000  # nodes that a task's forest holds before it is passed on and a new one begun
+PART_EDGES = 100_000  # written edges a partition
+
+
+def _dealt(df: DataFrame, edges: int) -> DataFrame:
+    """``df``, which comes from so many written edges and has no more rows, in partitions of bounded size."""
+    return df.coalesce(max(1, -(-edges // PART_EDGES)))
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -50,7 +54,8 @@ def _settled(edges: DataFrame) -> bool:
 
 
 def _forest(edges: DataFrame) -> DataFrame:
-    """Each partition's edges (a, b) as a forest: every node to the smallest that it is connected with there."""
+    """Each partition's edges (a, b) as forests of bounded size: every node to the smallest that it is connected with there."""
+    limit = FOREST_NODES
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict = {}
@@ -59,6 +64,12 @@ def _forest(edges: DataFrame) -> DataFrame:
             while (up := parent.setdefault(x, x)) != x:
                 parent[x] = x = parent[up]
             return x
+
+        def forest() -> Iterator[pa.RecordBatch]:
+            child = [x for x in parent if root(x) != x]
+            if child:
+                yield pa.RecordBatch.from_pydict({"a": pa.array(child, kind), "b": pa.array([root(x) for x in child], kind)})
+            parent.clear()
         kind = None
         for batch in found:
             kind = batch.schema.field("a").type
@@ -66,22 +77,26 @@ def _forest(edges: DataFrame) -> DataFrame:
                 a, b = root(a), root(b)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        child = [x for x in parent if root(x) != x]
-        if child:
-            yield pa.RecordBatch.from_pydict({"a": pa.array(child, kind), "b": pa.array([root(x) for x in child], kind)})
+            if len(parent) > limit:
+                yield from forest()
+        yield from forest()
     return edges.mapInArrow(batches, edges.schema)
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): for every node of the edges (a, b) the smallest node that it is connected with.
 
-    First each partition's edges become a forest, at most one edge for each node there. Then large and
+    First each partition's edges become forests, made in as many tasks as the edges come in and written;
+    only then do fewer partitions hold them, by their count, which no round raises. Then large and
     small stars alternate: a round links a node's larger neighbours, then its smaller ones, to the smallest
     of them. Each round's edges are written to the shared folder, so a lost executor costs one round. No
     node's neighbours are ever collected together: the minimum is an aggregate with map-side partial
     minima, and the join back to it can be split where one node is hot.
     """
-    now = written(_few(_forest(_few(edges.select("a", "b").where("a <> b"))).distinct()), "edges")
+    links = written(_forest(edges.select("a", "b").where("a <> b")), "links")
+    n = links.count()
+    now = written(_dealt(_forest(_dealt(links, n)).distinct(), n), "edges")
+    discard(links)
     for _ in range(rounds):
         if _settled(now):
             return now.selectExpr("a AS node", "b AS root").union(now.selectExpr("b AS node", "b AS root").distinct())
@@ -91,6 +106,6 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(down, "a").where("b <> m").selectExpr("b AS a", "m AS b")
                  .union(down.selectExpr("a", "m AS b")).distinct())
-        last, now = now, written(_few(small), "edges")
+        last, now = now, written(_dealt(small, now.count()), "edges")
         discard(last)
     raise ValueError(f"components did not settle in {rounds} rounds")

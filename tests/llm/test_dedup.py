@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from hearthline.llm import embedding_dedup, jaccard_join, sketch, substring_dedup
+from hearthline.llm import common, embedding_dedup, jaccard_join, sketch, substring_dedup
 from hearthline.llm.common import connected
 from helpers import components, corpus, table, words
 
@@ -131,6 +131,22 @@ def test_connected(spark):
     assert got == components(nodes, [e for e in edges if e[0] != e[1]])
 
 
+def test_connected_at_full_parallelism_in_bounded_forests(spark, monkeypatch):
+    # each task names its own node: fewer tasks would name fewer
+    edges = spark.range(0, 64, 1, 8).selectExpr("id AS a", "cast(1000 + spark_partition_id() AS long) AS b")
+    assert len({r.root for r in connected(edges).collect()}) == 8
+    monkeypatch.setattr(common, "FOREST_NODES", 1)
+    monkeypatch.setattr(common, "PART_EDGES", 50)
+    random_ = random.Random(3)
+    pairs = [(k, k + 1) for k in range(200)] + [(random_.randrange(1000, 1400), random_.randrange(1000, 1400)) for _ in range(150)]
+    parent = {x: x for e in pairs for x in e}
+    for a, b in pairs:  # relabelled whole, as no cleverness is needed here
+        a, b = parent[a], parent[b]
+        parent = {x: min(a, b) if r in (a, b) else r for x, r in parent.items()}
+    got = {r.node: r.root for r in connected(spark.createDataFrame(random_.sample(pairs, len(pairs)), "a long, b long")).collect()}
+    assert got == {x: r for x, r in parent.items() if any(x in e for e in pairs if e[0] != e[1])}
+
+
 @pytest.mark.parametrize("kind, block", [("float", 4096), ("double", 7)])
 def test_embedding_dedup(spark, monkeypatch, kind, block):
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
