@@ -166,10 +166,17 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return compress(spark.read.parquet(f"{folder}/embeddings.parquet"), parts=16, entries=64, rounds=2)
 
 
-# of bytes as hexadecimal digits; a step shifts eight times by one bit
-_CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len({0}), 2),
-  lambda i: CAST('0x' || {0}[i + 1:i + 2] AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
-  lambda r, k: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+def _crc32_steps() -> list[int]:
+    """What each byte adds: the remainder of dividing by the reflected polynomial, bit after bit."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in out]
+    return out
+
+
+# of a text as hexadecimal digits
+_CRC32_SQL = f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len({{0}}), 2),
+  lambda i: CAST('0x' || {{0}}[i + 1:i + 2] AS BIGINT))), lambda c, b: xor(c >> 8, {_crc32_steps()}[1 + (xor(c, b) & 255)])))"""
 
 
 def _repair_sql() -> str:
