@@ -23,7 +23,7 @@ from hearthline.session import written
 
 SCALE = 256
 LARGEST = 1 << 24  # a component's magnitude; squared distances of 2**12 such components still fit 64 bits
-ROWS = 4096  # vectors searched at once
+ROWS = 1024  # vectors searched at once
 HOT_SHARE = 1000  # fewer than so many labels can each hold more than one row in as many
 
 
@@ -42,67 +42,72 @@ def _integers(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, n
     return rows, out
 
 
-class Codebook:
-    """The entries of one part position, and for each entry the others by distance, nearest first."""
+class Search:
+    """The entries of all part positions, and for each entry the others of its position by distance, nearest first."""
 
-    def __init__(self, entries: np.ndarray):
-        self.entries = entries
-        far = ((entries[:, None] - entries[None]) ** 2).sum(2)
-        self.lists = np.array([[k for k in np.argsort(row, kind="stable") if k != i] for i, row in enumerate(far)],
-                              np.int64).reshape(len(entries), max(0, len(entries) - 1))
+    def __init__(self, parts: list[np.ndarray]):
+        self.entries = np.concatenate(parts)  # entry e of position p is at p * k + e
+        k = self.k = len(parts[0])
+        far = np.concatenate([((p[:, None] - p[None]) ** 2).sum(2) for p in parts]).reshape(-1, k)
+        own = np.arange(len(far)) % k
+        order = np.argsort(far, axis=1, kind="stable")
+        self.lists = order[order != own[:, None]].reshape(len(far), k - 1)
         self.far = np.take_along_axis(far, self.lists, 1)
-        self.by_sum = np.argsort(entries.sum(1), kind="stable")
-        self.sums = entries.sum(1)[self.by_sum]
+        self.by_sum = [np.argsort(p.sum(1), kind="stable") for p in parts]
+        self.sums = [p.sum(1)[order] for p, order in zip(parts, self.by_sum)]
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index, squared distance) of the nearest entry to each row, ties to the lower index."""
-        n, k = len(x), len(self.entries)
-        begin = np.minimum(np.searchsorted(self.sums, x.sum(1)), k - 1)
-        best = self.by_sum[begin]
-        near = ((x - self.entries[best]) ** 2).sum(1)
-        visited = np.zeros((n, k), bool)
-        visited[np.arange(n), best] = True
-        place = np.zeros(n, np.int64)
-        live = np.arange(n) if k > 1 else np.zeros(0, np.int64)
+        """(index, squared distance) of the nearest entry to each part of rows x positions x components, ties to the lower index."""
+        n, parts, k = x.shape[0], x.shape[1], self.k
+        begin = [order[np.minimum(np.searchsorted(sums, x[:, p].sum(1)), k - 1)]
+                 for p, (order, sums) in enumerate(zip(self.by_sum, self.sums))]
+        best = np.stack(begin, 1).ravel()  # a guess: the entry whose sum is near
+        base = np.tile(np.arange(parts) * k, n)
+        x = x.reshape(n * parts, -1)
+        near = ((x - self.entries[base + best]) ** 2).sum(1)
+        visited = np.zeros((n * parts, k), bool)
+        visited[np.arange(n * parts), best] = True
+        place = np.zeros(n * parts, np.int64)
+        live = np.arange(n * parts) if k > 1 else np.zeros(0, np.int64)
         while len(live):
-            live = live[self.far[best[live], place[live]] <= 4 * near[live]]
-            other = self.lists[best[live], place[live]]
+            at = base[live] + best[live]
+            goes_on = self.far[at, place[live]] <= 4 * near[live]
+            live, at = live[goes_on], at[goes_on]
+            other = self.lists[at, place[live]]
             place[live] += 1
             new = ~visited[live, other]
             rows, other = live[new], other[new]
             visited[rows, other] = True
-            found = ((x[rows] - self.entries[other]) ** 2).sum(1)
+            found = ((x[rows] - self.entries[base[rows] + other]) ** 2).sum(1)
             better = (found < near[rows]) | ((found == near[rows]) & (other < best[rows]))
             rows = rows[better]
             best[rows], near[rows], place[rows] = other[better], found[better], 0
             live = live[place[live] < k - 1]
-        return best, near
+        return best.reshape(n, parts), near.reshape(n, parts)
 
 
 class Codebooks:
     def __init__(self, parts: list[np.ndarray]):
-        self.parts, self.books = parts, None
+        self.parts, self.search = parts, None
 
     def __getstate__(self):
         return self.parts
 
     def __setstate__(self, parts):
-        self.parts, self.books = parts, None
+        self.parts, self.search = parts, None
 
     @property
     def width(self) -> int:
         return sum(p.shape[1] for p in self.parts)
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(codes, errors) of rows x parts."""
-        if self.books is None:
-            self.books = [Codebook(p) for p in self.parts]
-        own = self.width // max(1, len(self.parts))
+        """(codes, errors) of rows x positions."""
+        if self.search is None:
+            self.search = Search(self.parts)
         codes, errors = (np.zeros((len(x), len(self.parts)), np.int64) for _ in range(2))
-        for k, book in enumerate(self.books):
-            for a in range(0, len(x), ROWS):
-                z = min(a + ROWS, len(x))
-                codes[a:z, k], errors[a:z, k] = book.nearest(x[a:z, k * own:(k + 1) * own])
+        for a in range(0, len(x), ROWS):
+            part = x[a:a + ROWS].reshape(-1, len(self.parts), self.width // len(self.parts))
+            codes[a:a + ROWS], errors[a:a + ROWS] = self.search.nearest(part)
         return codes, errors
 
     def sha256(self) -> str:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from hearthline.llm import vector_codes
-from hearthline.llm.vector_codes import Codebook, compress
+from hearthline.llm.vector_codes import Search, compress
 
 
 def brute(rows, parts, entries, rounds):
@@ -55,11 +55,12 @@ def test_equals_brute_force(spark, monkeypatch, hot):
 def test_search_is_exact_and_reads_little(monkeypatch):
     rng = np.random.default_rng(1)
     for entries in (rng.integers(-90, 90, (64, 4)), rng.integers(0, 3, (64, 2)), np.zeros((5, 3), int), rng.integers(0, 9, (1, 4))):
-        book, x = Codebook(entries), rng.integers(-100, 100, (500, entries.shape[1]))
+        book, x = Search([entries, -entries]), rng.integers(-100, 100, (500, entries.shape[1]))
         x[:50] = entries[rng.integers(0, len(entries), 50)]
         far = ((x[:, None] - entries[None]) ** 2).sum(2)
-        best, near = book.nearest(x)
-        assert (best == far.argmin(1)).all() and (near == far.min(1)).all()  # argmin takes the lower index of equal ones
+        best, near = book.nearest(np.stack([x, -x], 1))
+        for k in (0, 1):  # argmin takes the lower index of equal ones
+            assert (best[:, k] == far.argmin(1)).all() and (near[:, k] == far.min(1)).all()
 
 
 def test_odd_tables(spark):
