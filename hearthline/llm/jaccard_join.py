@@ -13,23 +13,43 @@ already connected are skipped, so a block returns a forest, at most one link for
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import connected, map_batches, small_batches
 from hearthline.llm.sketch import Classes, count_min
 from hearthline.llm.words import find_words, hash_words, mix, runs
-from hearthline.session import written
+from hearthline.session import discard, written
 
 BITS = 28  # cells of the sketch of shingles: 64 MB at the driver and in a Python worker
 NODE_BITS = 24
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LEVELS = 8  # longest prefix extension
 VERIFY_COST = 4.0  # of counting one shingle exactly, against reading one entry of a list
+PIECE = 2 << 20  # bytes of text that become shingles at once; a longer text is one piece
+
+
+def in_pieces(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``map_batches`` over parts of batches of about ``PIECE`` bytes of text."""
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for part in pieces(batch):
+                if (out := fn(part)) is not None and out.num_rows:
+                    yield out
+    return docs.mapInArrow(batches, schema)
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    size = np.asarray(pc.fill_null(pc.binary_length(batch["text"]), 0), np.int64)
+    part = np.cumsum(size) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, z - a) for a, z in zip(cuts, cuts[1:]) if z > a)
 
 
 def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,9 +91,8 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _profiles(docs: DataFrame, classes: Classes, n: int, percent: int) -> DataFrame:
+def _profiles(docs: DataFrame, shared: Broadcast, n: int, percent: int) -> DataFrame:
     """(<columns of docs but text>, n_shingles, node, tokens): each document's set and the shared shingles of its prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
     names = [c for c in docs.columns if c != "text"]
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -89,24 +108,24 @@ def _profiles(docs: DataFrame, classes: Classes, n: int, percent: int) -> DataFr
         return pa.RecordBatch.from_pydict({
             **{c: b[c].cast(pa.int64()) for c in names}, "n_shingles": pa.array(size, pa.int64()), "node": set_ids(first, found),
             "tokens": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens))})
-    return map_batches(docs, batch, ", ".join(f"{c} long" for c in names) + ", n_shingles long, node binary, tokens array<long>")
+    return in_pieces(docs, batch, ", ".join(f"{c} long" for c in names) + ", n_shingles long, node binary, tokens array<long>")
+
 
+def _node_hash(column) -> np.ndarray:
+    return mix(np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2)[:, 0].astype(np.uint64))
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(set, shingles) once for each of the sets in ``nodes``, and for few others."""
-    def node_hash(column) -> np.ndarray:
-        return mix(np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2)[:, 0].astype(np.uint64))
-    wanted = docs.sparkSession.sparkContext.broadcast(
-        count_min(nodes, lambda b: node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
+
+def _sets(docs: DataFrame, wanted: Broadcast, n: int) -> DataFrame:
+    """(set, shingles) once for each of the ``wanted`` sets, and for few others."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch | None:
         first, found = shingles(b["text"], n)
         ids = set_ids(first, found)
-        keep = np.flatnonzero((wanted.value.of(node_hash(ids)) > 0) & (np.diff(first) > 0))
+        keep = np.flatnonzero((wanted.value.of(_node_hash(ids)) > 0) & (np.diff(first) > 0))
         return pa.RecordBatch.from_pydict({
             "set": ids.take(pa.array(keep)),
             "shingles": pa.array([found[first[k]:first[k + 1]].tobytes() for k in keep], pa.binary())})
-    found = map_batches(docs.select("text"), batch, "set binary, shingles binary")
+    found = in_pieces(docs.select("text"), batch, "set binary, shingles binary")
     return found.groupBy("set").agg(F.first("shingles").alias("shingles"))
 
 
@@ -227,9 +246,13 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
 
     ``rows`` has the columns of ``docs`` but text, n_shingles and the set; ``sets`` (node, set, least) each set
     once with its smallest doc_id; ``linked`` (node, root) the components of sets that are linked with others.
+    Sketches are given up at the driver and in the executors as soon as what is found with them is written.
     """
-    classes = count_min(docs.select("text"), lambda b: shingles(b["text"], n)[1], bits=BITS)
+    context = docs.sparkSession.sparkContext
+    classes = context.broadcast(count_min(docs.select("text"), lambda b: np.concatenate(
+        [shingles(p["text"], n)[1] for p in pieces(b)]), bits=BITS))
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
+    classes.destroy()
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
     # a short name for each set; written, so that it stays
@@ -242,8 +265,11 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
              .drop("n"))
     edges = tokens.join(stars, ["token", "class"]).where("node <> star").selectExpr("node AS a", "star AS b")
     candidates = written(connected(edges).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
-    items = _tiles(candidates).join(_sets(docs, candidates.select("set"), n), "set").drop("set")
+    wanted = context.broadcast(count_min(candidates.select("set"), lambda b: _node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
+    items = _tiles(candidates).join(_sets(docs, wanted, n), "set").drop("set")
     linked = connected(_verified(items, percent))
+    wanted.destroy()
+    discard(candidates)
     return rows.withColumnRenamed("node", "set").drop("tokens"), sets.select("node", "set", "least"), linked
 
 
@@ -267,37 +293,27 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
                     .alias("component_id")))
 
 
-def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Of each component of ``docs`` (doc_id, text and any other columns) the rows with its smallest doc_id, once each.
-
-    Rows with a null doc_id all stay, and so do all texts of a kept doc_id; repeated rows, equal in doc_id and
-    text, become one. ``first_of_each`` keeps one row of each component.
-    """
-    found = jaccard_components(docs, n, percent)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"),
-                        F.xxhash64("text").alias("text_hash"))
-    kept = whole.join(ids, F.col("id") == F.col("kept_id"), "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
-    nameless = whole.where("id IS NULL")
-    return kept.select("row.*").union(nameless.select("row.*"))
-
-
 def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Of each component of ``docs`` (doc_id, text and any other columns) exactly one row, that of smallest doc_id.
 
     A row with a null doc_id stays only for a component whose ids are all null. A text without words links with
-    nothing and stays; of such rows that are equal in doc_id and text one does, unless the doc_id is null.
+    nothing and stays; of such rows that are equal in doc_id and text one does, unless the doc_id is null. Which of
+    rows equal in doc_id and text stays is open. A row is known by its doc_id and 128 bits of its text, and rows
+    equal in these collapse in each task before the shuffle, so texts are neither written nor sent a second time.
     """
     small_batches(docs.sparkSession)
-    number = "row_number"
-    while number in {c.lower() for c in docs.columns}:
-        number += "_"
-    whole = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")  # written, so that numbers stay
-    rows, sets, linked = _linked(whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
-                                              F.col(number).alias("number"), "text"), n, percent)
+    text = F.coalesce("text", F.lit(""))
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2")]
+    rows, sets, linked = _linked(docs.select(*key, "text"), n, percent)
     roots = sets.join(linked, "node", "left").select("set", F.coalesce("root", "node").alias("root"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "number"))["number"].alias(number)
-    own = F.when(F.col("doc_id").isNull(), F.col("number"))
-    kept = (rows.join(roots, "set").groupBy("root").agg(first).select(number)
-            .union(rows.where("n_shingles = 0").groupBy("doc_id", "text_hash", own).agg(first).select(number)))
-    return whole.join(kept, number, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h1", "h2")).alias("k")
+    own = ["k.doc_id", "k.h1", "k.h2"]
+    kept = (rows.join(roots, "set").groupBy("root").agg(first).select(*own)
+            .union(rows.where("n_shingles = 0 AND doc_id IS NOT NULL").select("doc_id", "h1", "h2").distinct()))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *key)
+    words = F.col("row.text").rlike("[^\\x20\\x09-\\x0D]")
+    nameless = F.col("doc_id").isNull() & ~F.coalesce(words, F.lit(False))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
+    single = whole.where(~nameless).groupBy("doc_id", "h1", "h2").agg(F.first("row").alias("row"))
+    found = single.alias("a").join(kept.alias("b"), same, "left_semi")
+    return found.select("row.*").union(whole.where(nameless).select("row.*"))

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 
 BITS = 28
 RANGE_BITS = 18  # cells of one range
-FLUSH = 4_000_000  # hashes held by a task before it writes a sketch
+FLUSH = 8 << 20  # bytes of cells held by a task before it writes a sketch
+RANGES_AT_ONCE = 128  # of a sketch, in one batch
 LEVELS = (2, 16, 1000)  # counts from which a cell is of class 1, 2, 3
 _SCHEMA = "range int, gaps binary, wide binary, many binary, times binary"
 
@@ -25,21 +26,27 @@ _SCHEMA = "range int, gaps binary, wide binary, many binary, times binary"
 def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cells of a row of the sketch; rows use different bits of the hash."""
     with np.errstate(over="ignore"):
-        return ((hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * row)) >> np.uint64(64 - bits)).astype(np.int64) \
-            + (row << bits)
-
-
-def _ranges(cells: np.ndarray) -> Iterator[dict]:
-    cells, times = np.unique(cells, return_counts=True)
-    which = cells >> RANGE_BITS
-    for part in np.split(np.arange(len(cells)), np.flatnonzero(np.diff(which)) + 1):
-        own = cells[part] - (int(which[part[0]]) << RANGE_BITS)
-        gaps = np.diff(own, prepend=0)
-        n = np.minimum(times[part], 65535)
-        many = np.flatnonzero(n > 1)
-        yield {"range": int(which[part[0]]), "gaps": np.minimum(gaps, 255).astype(np.uint8).tobytes(),
-               "wide": gaps[gaps >= 255].astype(np.uint32).tobytes(),
-               "many": many.astype(np.uint32).tobytes(), "times": n[many].astype(np.uint16).tobytes()}
+        return ((hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * row)) >> np.uint64(64 - bits)) + np.uint64(row << bits)
+
+
+def _ranges(cells: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The sketch of ``cells``, which are sorted in place."""
+    cells.sort()
+    first = np.concatenate([[True], cells[1:] != cells[:-1]])
+    begin = np.flatnonzero(first)
+    found = cells[begin]
+    times = np.minimum(np.diff(begin, append=len(cells)), 65535).astype(np.uint16)
+    cuts = np.flatnonzero(np.diff(found >> RANGE_BITS, prepend=(found[:1] >> RANGE_BITS) ^ 1) != 0).tolist()
+    rows = []
+    for a, z in zip(cuts, [*cuts[1:], len(found)]):
+        which = int(found[a]) >> RANGE_BITS
+        gaps = np.diff(found[a:z].astype(np.int64) - (which << RANGE_BITS), prepend=0)
+        many = np.flatnonzero(times[a:z] > 1)
+        rows.append((which, np.minimum(gaps, 255).astype(np.uint8).tobytes(), gaps[gaps >= 255].astype(np.uint32).tobytes(),
+                     many.astype(np.uint32).tobytes(), times[a:z][many].tobytes()))
+        if len(rows) == RANGES_AT_ONCE or z == len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            rows = []
 
 
 def _add(counts: np.ndarray, row: dict) -> None:
@@ -69,7 +76,7 @@ class Classes:
         out = np.full(len(hashes), 3, np.uint8)
         for row in range(self.rows):
             cells = _cells(hashes, row, self.bits)
-            np.minimum(out, (self.packed[cells >> 2] >> ((cells & 3) * 2).astype(np.uint8)) & 3, out=out)
+            np.minimum(out, (self.packed[cells >> np.uint64(2)] >> ((cells & np.uint64(3)) * np.uint64(2)).astype(np.uint8)) & 3, out=out)
         return out
 
 
@@ -77,22 +84,26 @@ def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bit
               levels: tuple[int, int, int] = LEVELS) -> Classes:
     """The classes of the counts of all hashes that ``hashes`` finds in the batches of ``df``."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+    if not RANGE_BITS <= bits <= 32:
+        raise ValueError("bits must be between 18 and 32")
+    kind = np.uint32 if rows << bits <= 1 << 32 else np.uint64
+    schema = pa.schema([("range", pa.int32()), *((k, pa.binary()) for k in ("gaps", "wide", "many", "times"))])
+    most = FLUSH // np.dtype(kind).itemsize
 
-        def out() -> pa.RecordBatch:
-            found = np.concatenate(held)
-            return pa.RecordBatch.from_pylist(
-                [x for row in range(rows) for x in _ranges(_cells(found, row, bits))],
-                schema=pa.schema([("range", pa.int32()), *((k, pa.binary()) for k in ("gaps", "wide", "many", "times"))]))
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = np.empty(most, kind), 0
         for batch in batches:
-            held.append(hashes(batch))
-            n += len(held[-1])
-            if n >= FLUSH:
-                yield out()
-                held, n = [], 0
+            found = hashes(batch)
+            for a in range(0, len(found), max(1, most // rows)):
+                part = found[a:a + max(1, most // rows)]
+                if n + rows * len(part) > most:
+                    yield from _ranges(held[:n], schema)
+                    n = 0
+                for row in range(rows):
+                    held[n:n + len(part)] = _cells(part, row, bits)
+                    n += len(part)
         if n:
-            yield out()
+            yield from _ranges(held[:n], schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, now = np.zeros(1 << RANGE_BITS, np.int64), None
@@ -112,8 +123,6 @@ def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bit
         if now is not None:
             yield out()
 
-    if not RANGE_BITS <= bits <= 32:
-        raise ValueError("bits must be between 18 and 32")
     merged = (df.mapInArrow(sketch, _SCHEMA).repartition("range").sortWithinPartitions("range")
               .mapInArrow(merge, "range int, packed binary"))
     packed = np.zeros((rows << bits) // 4, np.uint8)

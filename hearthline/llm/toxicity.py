@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -255,13 +256,13 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def below(docs: DataFrame, scorer: Scorer, limit: float) -> DataFrame:
-    """The rows of ``docs`` (text and any other columns) that score below ``limit``."""
+    """The rows of ``docs`` (text and any other columns) that score below ``limit``; only texts go to Python, only scores come back."""
     shared = small_batches(docs.sparkSession).sparkContext.broadcast(scorer)
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        scores = shared.value.scores(np.array([shared.value.features(t) for t in b["text"].to_pylist()]))
-        return b.filter(pa.array(scores < limit))
-    return map_batches(docs, batch, docs.schema)
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.scores(np.array([shared.value.features(t) for t in texts])))
+    return docs.where(scored("text") < limit)
 
 
 HELD_OUT = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, false)"
