@@ -18,12 +18,14 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hearthline.llm.common import map_batches, small_batches
+from hearthline.llm.common import in_pieces, small_batches
 from hearthline.llm.words import mix
 
 GROUP_DOCS = 1024  # documents of a group, about
-CACHED_WORDS = 1_000_000  # distinct words whose ids a Python worker keeps
+CACHED_BYTES = 64 << 20  # of distinct words whose ids a Python worker keeps
+WORD_BYTES = 200  # that a kept word takes besides its own
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -43,7 +45,7 @@ BYTE_CHARS = _byte_chars()
 class WordTokens:
     """Token ids of texts by a tokenizer that never joins across ASCII white space.
 
-    Each distinct word is encoded once a batch, the first ``CACHED_WORDS`` once a worker.
+    Each distinct word is encoded once a piece of a batch, the first ``CACHED_BYTES`` of them once a worker.
     """
 
     def __init__(self, path: str):
@@ -54,6 +56,7 @@ class WordTokens:
         self.lower = self._ids("ABC ÉA z") == self._ids("abc Éa z")
         self.plain = self._splits_plainly()
         self.known: dict[bytes, int] = {}
+        self.size = 0
         self.ids, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _ids(self, word: str) -> list[int]:
@@ -93,9 +96,10 @@ class WordTokens:
             more, ends = self._encode(new)
             ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + ends])
             places = {w: len(self.at) - 1 + k for k, w in enumerate(new)}
-            if len(self.known) + len(new) <= CACHED_WORDS or not self.known:
+            size = sum(map(len, new)) + WORD_BYTES * len(new)
+            if self.size + size <= CACHED_BYTES:
                 self.known.update(places)
-                self.ids, self.at = ids, at
+                self.ids, self.at, self.size = ids, at, self.size + size
             index[missing] = np.fromiter(map(places.__getitem__, lost), np.int64, len(lost))
         size = at[index + 1] - at[index]
         total = np.cumsum(size)
@@ -182,8 +186,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 1, seed
     to ``start + length`` of the document, at ``offset`` of its sequence; ids_crc32 is over little-endian
     unsigned 32-bit ids. Each document ends with the id ``end``, so a null or empty text is that id alone.
     Sequences are ``length`` long, or a power of two. A null doc_id is kept; rows that repeat a doc_id are
-    documents of their own. Which group a document is in depends on its id, its ids and the seed.
-    Other columns are ignored.
+    documents of their own. Which group a document is in depends on its id, its ids and the seed; copies of a
+    row collapse in each task before they are counted, and are dealt by their number as well, so that however many
+    they are, they do not meet in one group. Other columns are ignored.
     """
     spark = small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -240,7 +245,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 1, seed
         if held:
             yield out(held)
 
-    tokens = map_batches(docs, tokenise, "bucket long, key long, doc_id long, start long, length long, ids_crc32 long, "
+    tokens = in_pieces(docs, tokenise, "bucket long, key long, doc_id long, start long, length long, ids_crc32 long, "
                          "doc_tokens long, ids binary")
-    return (tokens.repartition("bucket").sortWithinPartitions("bucket", "key", "start").drop("key")
-            .mapInArrow(place, PIECES))
+    tokens = tokens.groupBy(*tokens.columns).agg(F.count("*").alias("copies")).withColumn("copy", F.expr("explode(sequence(1L, copies))"))
+    dealt = F.when(F.col("copy") == 1, F.col("bucket")).otherwise(F.pmod(F.xxhash64("key", "copy"), F.lit(groups)))
+    return (tokens.withColumn("bucket", dealt).drop("copies").repartition("bucket")
+            .sortWithinPartitions("bucket", "key", "start", "copy").drop("key", "copy").mapInArrow(place, PIECES))

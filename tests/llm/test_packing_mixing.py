@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -158,3 +158,11 @@ def test_overlapping_sources(spark):
     targets = mixing.shares(sizes, {"a": 3, "b": 1}, 3)
     for s in "ab":
         assert abs(taken[s] - targets[s]) <= 30
+
+
+def test_copies_do_not_meet_in_one_group(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_DOCS", 50)
+    rows = [(None, None)] * 4000 + [(7, "the same few words")] * 2000
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), public_tokenizers.path("word_bpe_49k.json"), length=64, end=1).collect()
+    groups = Counter(r.sequence_id >> 32 for r in found)
+    assert sum(r.length for r in found if r.doc_id is None) == 4000 and max(groups.values()) < 150
