@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,6 +39,27 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(batches, schema)
 
 
+PIECE = 2 << 20  # bytes of text that are worked on at once; a longer text is one piece
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of documents of about ``PIECE`` bytes of text, as words take several times their bytes."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch["text"]), 0), np.int64)
+    part = np.cumsum(size) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, z - a) for a, z in zip(cuts, cuts[1:]) if z > a)
+
+
+def in_pieces(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``map_batches`` over the pieces of each batch."""
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for part in pieces(batch):
+                if (out := fn(part)) is not None and out.num_rows:
+                    yield out
+    return docs.mapInArrow(batches, schema)
+
+
 FOREST_NODES = 1_000_000  # nodes that a task's forest holds before it is passed on and a new one begun
 PART_EDGES = 100_000  # written edges a partition
 
@@ -83,17 +106,19 @@ def _forest(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(batches, edges.schema)
 
 
-def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame, rounds: int = 60, forests: bool = False) -> DataFrame:
     """(node, root): for every node of the edges (a, b) the smallest node that it is connected with.
 
-    First each partition's edges become forests, made in as many tasks as the edges come in and written;
-    only then do fewer partitions hold them, by their count, which no round raises. Then large and
+    First each partition's edges become forests (unless ``forests`` tells that they are), made in as many tasks
+    as the edges come in and written; only then do fewer partitions hold them, by their count, which no round
+    raises. Then large and
     small stars alternate: a round links a node's larger neighbours, then its smaller ones, to the smallest
     of them. Each round's edges are written to the shared folder, so a lost executor costs one round. No
     node's neighbours are ever collected together: the minimum is an aggregate with map-side partial
     minima, and the join back to it can be split where one node is hot.
     """
-    links = written(_forest(edges.select("a", "b").where("a <> b")), "links")
+    edges = edges.select("a", "b").where("a <> b")
+    links = written(edges if forests else _forest(edges), "links")
     n = links.count()
     now = written(_dealt(_forest(_dealt(links, n)).distinct(), n), "edges")
     discard(links)

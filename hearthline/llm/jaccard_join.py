@@ -13,43 +13,26 @@ already connected are skipped, so a block returns a forest, at most one link for
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import connected, map_batches, small_batches
+from hearthline.llm.common import connected, in_pieces, pieces, small_batches
 from hearthline.llm.sketch import Classes, count_min
 from hearthline.llm.words import find_words, hash_words, mix, runs
 from hearthline.session import discard, written
 
-BITS = 28  # cells of the sketch of shingles: 64 MB at the driver and in a Python worker
+BITS = 28  # cells of the sketch of shingles, at most: 64 MB at the driver and in a Python worker
+CELLS = 4  # for each word, as far as BITS allows
+WORD_BYTES = 6  # of a text with its space, about
 NODE_BITS = 24
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LEVELS = 8  # longest prefix extension
 VERIFY_COST = 4.0  # of counting one shingle exactly, against reading one entry of a list
-PIECE = 2 << 20  # bytes of text that become shingles at once; a longer text is one piece
-
-
-def in_pieces(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``map_batches`` over parts of batches of about ``PIECE`` bytes of text."""
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for part in pieces(batch):
-                if (out := fn(part)) is not None and out.num_rows:
-                    yield out
-    return docs.mapInArrow(batches, schema)
-
-
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    size = np.asarray(pc.fill_null(pc.binary_length(batch["text"]), 0), np.int64)
-    part = np.cumsum(size) // PIECE
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    return (batch.slice(a, z - a) for a, z in zip(cuts, cuts[1:]) if z > a)
 
 
 def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,8 +232,10 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     Sketches are given up at the driver and in the executors as soon as what is found with them is written.
     """
     context = docs.sparkSession.sparkContext
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(BITS, max(18, (CELLS * size // WORD_BYTES).bit_length()))
     classes = context.broadcast(count_min(docs.select("text"), lambda b: np.concatenate(
-        [shingles(p["text"], n)[1] for p in pieces(b)]), bits=BITS))
+        [shingles(p["text"], n)[1] for p in pieces(b)]), bits=bits))
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
     classes.destroy()
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
@@ -267,7 +252,7 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     candidates = written(connected(edges).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
     wanted = context.broadcast(count_min(candidates.select("set"), lambda b: _node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
     items = _tiles(candidates).join(_sets(docs, wanted, n), "set").drop("set")
-    linked = connected(_verified(items, percent))
+    linked = connected(_verified(items, percent), forests=True)
     wanted.destroy()
     discard(candidates)
     return rows.withColumnRenamed("node", "set").drop("tokens"), sets.select("node", "set", "least"), linked

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -259,9 +258,9 @@ def below(docs: DataFrame, scorer: Scorer, limit: float) -> DataFrame:
     """The rows of ``docs`` (text and any other columns) that score below ``limit``; only texts go to Python, only scores come back."""
     shared = small_batches(docs.sparkSession).sparkContext.broadcast(scorer)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(np.array([shared.value.features(t) for t in texts])))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.scores(np.array([shared.value.features(t) for t in texts.to_pylist()])))
     return docs.where(scored("text") < limit)
 
 
