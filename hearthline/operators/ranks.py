@@ -2,11 +2,12 @@
 
 ``percentile`` keeps every distinct value of a column in the memory of one task.
 Here a bounded sketch proposes a bracket around each wanted rank, one scan counts
-the rows below and inside it, and only the values inside are sorted. Every step is
-a scan with map-side aggregation. Values reach a single task only when a count has
-shown that a bracket holds at most ``task_rows`` of them; a wider bracket is first
-narrowed by a sketch of its inside. The sketch only steers: results come from counts.
-Columns seen to have few values in all (``LIST_VALUES``) are sorted as they are.
+the rows below and inside it, and only the values inside are ranked: as (bracket, value)
+with counts, each bracket by partial sums in a task of its own. Every step is a scan with
+map-side aggregation. A bracket is ranked only when a count has shown that it holds at
+most ``task_rows`` values, and all that are ranked in one scan hold at most ``LIST_VALUES``
+together, however many columns and ranks there are; wider brackets are first narrowed by
+a sketch of their inside. The sketch only steers: results come from counts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.functions.sqltext import literal_sql, present_sql
@@ -24,7 +26,7 @@ from hearthline.functions.sqltext import literal_sql, present_sql
 ACCURACY = 10_000
 SLACK = 5.0  # how far bracket ends lie from a rank, in units of the sketch error
 TASK_ROWS = 1_000_000
-LIST_VALUES = 4_000_000
+LIST_VALUES = 4_000_000  # ranked in one scan, of all brackets together
 MAX_ROUNDS = 64
 
 
@@ -37,15 +39,14 @@ class Ranked:
     ranks: list[int]
     size: int
     guess: tuple[int, int] | None = None  # where the ranks are expected, instead of a sketch
-    reach: bool = True  # whether the rows at or below each value are wanted too
 
 
 @dataclass(frozen=True)
 class Found:
-    """The value at a rank, and, if wanted, how many rows are at or below it."""
+    """The value at a rank, and how many rows are at or below it."""
 
     value: Any
-    reach: int | None
+    reach: int
 
 
 @dataclass(eq=False)
@@ -145,38 +146,59 @@ def _search(
     for _ in range(MAX_ROUNDS):
         if not open_:
             return out
-        _narrow(frame, [b for b in open_ if b.measured and b.bound > task_rows], accuracy)
-        open_ = _measure(frame, open_, task_rows, targets, out)
+        listed = _affordable(open_, task_rows)
+        _narrow(frame, [b for b in open_ if b.measured and b not in listed], accuracy)
+        open_ = _measure(frame, open_, listed, targets, out)
     raise RuntimeError("rank search did not settle")
 
 
+def _affordable(brackets: list[_Bracket], task_rows: int) -> list[_Bracket]:
+    """The brackets that may be ranked now: the smallest ones that the budget has room for, at least one if any is small."""
+    out, room = [], LIST_VALUES
+    for b in sorted(brackets, key=lambda b: b.bound):
+        if b.bound <= task_rows and (b.bound <= room or not out):
+            out.append(b)
+            room -= b.bound
+    return out
+
+
+def _ranked(frame: DataFrame, wanted: list[tuple[int, _Bracket, list[int]]]) -> dict[tuple[int, int], tuple[Any, int]]:
+    """(position, rank inside) -> (value, how many values inside are at or below it), for brackets (position, bracket, ranks inside).
+
+    Values are counted with map-side partial sums, so hot ones do not travel; a task ranks one bracket's values.
+    """
+    whole = {f.name: isinstance(f.dataType, T.IntegralType) for f in frame.schema.fields}
+    entries = []
+    for j, b, _ in wanted:
+        kinds = ("CAST({} AS BIGINT)", "CAST(NULL AS DOUBLE)") if whole[f"t{b.slot}"] else ("CAST(NULL AS BIGINT)", "CAST({} AS DOUBLE)")
+        l, d = (k.format(f"t{b.slot}") for k in kinds)
+        entries.append(f"CASE WHEN {_inside(b)} THEN named_struct('b', {j}, 'l', {l}, 'd', {d}) END")
+    counts = frame.selectExpr(f"inline(array_compact(array({', '.join(entries)})))").groupBy("b", "l", "d").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("b").orderBy("l", "d"))
+    spots = frame.sparkSession.createDataFrame([(j, r) for j, _, ranks in wanted for r in ranks], "b int, spot bigint")
+    found = (counts.withColumn("upto", upto).join(F.broadcast(spots), "b")
+             .where("spot <= upto AND spot > upto - n").select("b", "spot", F.expr("l"), F.expr("d"), "upto"))
+    return {(r["b"], r["spot"]): (r["d"] if r["l"] is None else r["l"], r["upto"]) for r in found.collect()}
+
+
 def _measure(
-    frame: DataFrame, brackets: list[_Bracket], task_rows: int, targets: list[Ranked], out: dict
+    frame: DataFrame, brackets: list[_Bracket], listed: list[_Bracket], targets: list[Ranked], out: dict
 ) -> list[_Bracket]:
-    """Count around each bracket and settle the ranks that can be; returns what is left open."""
-    counts, lists, values, reaches = [], [], [], []
+    """Count around each bracket, rank what lies inside the listed ones; returns what is left open."""
+    counts = []
     for j, b in enumerate(brackets):
         for end, x in (("low", b.low), ("high", b.high)):
             if x is not None:
-                counts.append((f"lt_{end}{j}", f"count_if(t{b.slot} < {literal_sql(x)})"))
-                counts.append((f"le_{end}{j}", f"count_if(t{b.slot} <= {literal_sql(x)})"))
-        if b.bound <= task_rows:
-            lists.append(f"sort_array(collect_list(CASE WHEN {_inside(b)} THEN t{b.slot} END)) AS list{j}")
-            before = f"le_low{j}" if b.low is not None else "0L"
-            for r in b.ranks:
-                spot = f"{r} - {before}"
-                values.append(f"CASE WHEN {spot} BETWEEN 1 AND size(list{j}) "
-                              f"THEN get(list{j}, CAST({spot} - 1 AS INT)) END AS v{j}_{r}")
-                if targets[b.slot].reach:
-                    reaches.append(f"{before} + size(filter(list{j}, x -> x <= v{j}_{r})) AS r{j}_{r}")
-    row = {}
-    if counts or lists:
-        counted = frame.selectExpr(*[f"{e} AS {n}" for n, e in counts], *lists)
-        if lists:
-            names = [n for n, _ in counts]
-            counted = counted.selectExpr("*", *values).selectExpr(
-                *names, *[v.rsplit(" AS ", 1)[1] for v in values], *reaches)
-        row = counted.first().asDict()
+                counts.append(f"count_if(t{b.slot} < {literal_sql(x)}) AS lt_{end}{j}")
+                counts.append(f"count_if(t{b.slot} <= {literal_sql(x)}) AS le_{end}{j}")
+    row = frame.selectExpr(*counts).first().asDict() if counts else {}
+    wanted = []
+    for j, b in enumerate(brackets):
+        before, until = row.get(f"le_low{j}", 0), row.get(f"lt_high{j}", targets[b.slot].size)
+        inside = [r - before for r in b.ranks if before < r <= until]
+        if b in listed and inside:
+            wanted.append((j, b, inside))
+    ranked = _ranked(frame, wanted) if wanted else {}
 
     left: list[_Bracket] = []
     for j, b in enumerate(brackets):
@@ -191,8 +213,9 @@ def _measure(
             elif r <= le_low:
                 settled[r] = Found(b.low, le_low)
             elif r <= lt_high:
-                if b.bound <= task_rows:
-                    settled[r] = Found(row[f"v{j}_{r}"], row.get(f"r{j}_{r}"))
+                if b in listed:
+                    value, upto = ranked[j, r - le_low]
+                    settled[r] = Found(value, le_low + upto)
                 else:
                     inner.append(r)
             elif r <= le_high:
@@ -268,7 +291,7 @@ def exact_quantiles(
             lower = math.floor(at)
             spots[c].append((lower + 1, min(lower + 2, n), at - lower))
         ranks = sorted({r for lo, hi, frac in spots[c] for r in ((lo, hi) if frac else (lo,))})
-        targets.append(Ranked(c, clean[c], ranks, n, reach=False))
+        targets.append(Ranked(c, clean[c], ranks, n))
     found = order_statistics(df, targets, accuracy, task_rows)
 
     out: dict[str, list[float | None]] = {}

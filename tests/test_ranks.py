@@ -102,3 +102,26 @@ def test_hashes_and_dense_numbers_beyond_double_precision(spark, accuracy, task_
         found = order_statistics(df, [Ranked("x", "x", ranks, len(values))], accuracy, task_rows)["x"]
         assert {r: f.value for r, f in found.items()} == {r: ordered[r - 1] for r in ranks}
         assert all(f.reach == sum(v <= f.value for v in values) for f in found.values())
+
+
+def test_all_brackets_share_one_budget(spark, monkeypatch):
+    """A hundred columns: what is ranked in a scan holds few values in all, and no task has more than one bracket's."""
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(300, 100))
+    data[:100, :50] = 0.25  # hot values
+    df = spark.createDataFrame(data.tolist(), [f"c{i}" for i in range(100)])
+    seen = []
+    plain = ranks_module._ranked
+    monkeypatch.setattr(ranks_module, "LIST_VALUES", 600)
+    monkeypatch.setattr(ranks_module, "_ranked", lambda frame, wanted: seen.append(sum(b.bound for _, b, _ in wanted)) or plain(frame, wanted))
+    got = exact_quantiles(df, df.columns, [0.25, 0.5, 0.75], accuracy=40, task_rows=100)[0]
+    for i, c in enumerate(df.columns):
+        assert got[c] == pytest.approx(list(np.quantile(data[:, i], [0.25, 0.5, 0.75])), rel=1e-12)
+    assert seen and max(seen) <= 600
+
+
+def test_ranking_leaves_no_list_in_a_row(spark):
+    frame = ranks_module._columns(spark.range(50).select(F.col("id").alias("x"), (F.col("id") / 3).alias("y")), [Ranked("x", "x", [1], 50), Ranked("y", "y", [1], 50)])
+    brackets = [ranks_module._Bracket(0, [1], None, None, 50), ranks_module._Bracket(1, [1], 2.0, 9.0, 50)]
+    found = ranks_module._ranked(frame, [(0, brackets[0], [7, 50]), (1, brackets[1], [1, 3])])
+    assert found == {(0, 7): (6, 7), (0, 50): (49, 50), (1, 1): (7 / 3, 1), (1, 3): (3.0, 3)}
