@@ -213,13 +213,38 @@ def model_health(spark, folder):
     out = scratch_path(spark, "health")
     ready, fit = house.prepare(learnable(imputed_houses(spark, folder)))
     chosen = house.train_and_select(ready, {"linear_regression": models.MODEL_CONFIG["linear_regression"]})
-    state.save_model(spark, chosen.best, out)
+    state.save_model(spark, chosen.best, out, fit=fit)
     state.save_fit_state(spark, fit, f"{out}/fit")
     scored = house.load_scorer(spark, out).predictions(houses(spark, folder))
     n = scored.where(F.col("prediction").isNotNull()).count()
     return state.model_health(spark, out, f"{out}/fit").withColumn("n", F.lit(n))
 
 
+@query("versioned_bundle", over_houses(f"""SELECT id, round({LEARNABLE}, 1) AS served, round(2 * ({LEARNABLE}) + 1000, 1) AS second,
+  TRUE AS own_split FROM hi""", *FIT_CTES[:3]))
+def versioned_bundle(spark, folder):
+    """Two runs into one folder; the second has other data, another fit and a worse validation score.
+
+    What is served stays the first run's prices, by its own fit; the second run can still be asked for by its id.
+    Each bundle's rule splits its data again as it was split in training.
+    """
+    out = scratch_path(spark, "bundles")
+    rows = imputed_houses(spark, folder)
+    linear = {"linear_regression": models.MODEL_CONFIG["linear_regression"]}
+    bias = F.when(F.col("split") == "val", F.lit(200000.0) * (F.col("id") % 7 - 3)).otherwise(0.0)
+    own_split = True
+    for run, data in (("first", learnable(rows)), ("second", learnable(rows).where("id % 2 = 0").withColumn("price", F.expr("2 * price + 1000D")))):
+        found = house.prepared(data)
+        ready = found.ready if run == "first" else found.ready.withColumn("price", F.col("price") + bias)
+        chosen = house.train_and_select(ready, linear, k=0)
+        state.save_model(spark, chosen.best, out, chosen.test, fit=found.fit, rule=found.rule, run_id=run)
+        again = state.load_bundle(spark, out, run_id=run).rule.apply(data).select("id", "split")
+        own_split &= again.exceptAll(found.ready.select("id", "split")).isEmpty()
+    served, second = house.load_scorer(spark, out), house.load_scorer(spark, out, run_id="second")
+    both = second.predictions(served.predictions(rows, "served"), "second")
+    return both.select("id", F.round("served", 1).alias("served"), F.round("second", 1).alias("second"), F.lit(own_split).alias("own_split"))
+
+
 R2_FLOOR = 0.45
 _ABOVE = over_houses("SELECT m.model, split, count(*) AS n, TRUE AS above FROM sp, m WHERE {where} GROUP BY m.model, split",
                      *_LEARN_SPLIT, "m AS (SELECT unnest({names}) AS model)")

@@ -139,7 +139,7 @@ def predict(df: DataFrame, model: Model | LinearFormula, features: list[str] = S
     if isinstance(model, LinearFormula):
         return df.withColumn(output, model.column())
     scored = model.transform(assemble(df, features))
-    return scored.withColumn(output, F.col("prediction")).drop(VECTOR, "prediction")
+    return scored.drop(VECTOR) if output == "prediction" else scored.withColumnRenamed("prediction", output).drop(VECTOR)
 
 
 # -- cross-validation ----------------------------------------------------------

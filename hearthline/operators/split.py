@@ -8,8 +8,9 @@ a task is run again.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Callable
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,14 +44,54 @@ def allocate(counts: list[int], total: int) -> list[int]:
     return shares
 
 
-def _held_out(
-    df: DataFrame, key: str, stratum: str, mark: str, size: int, task_rows: int
-) -> Callable[[str], Column]:
-    """Which rows are held out: in each stratum those with the smallest hashes (column ``mark``).
+@dataclass(frozen=True)
+class HeldOut:
+    """Which rows are held out: by stratum those up to a threshold of the hash, but for the keys that stay of its ties."""
 
-    The answer is a function of the SQL that gives a row's hash, to be applied to any
-    frame that has the stratum.
-    """
+    key: str
+    stratum: str
+    cuts: tuple[int, ...]  # by stratum; -1 holds nothing out
+    stay: tuple[tuple[int, int, tuple], ...]  # (stratum, threshold, keys)
+
+    def column(self, hash_sql: str) -> Column:
+        cuts = ", ".join(f"{c}L" for c in self.cuts)
+        out = F.expr(f"{hash_sql} <= get(array({cuts}), {self.stratum})")
+        for s, cut, keys in self.stay:
+            out = out & ~(F.expr(f"{self.stratum} = {s} AND {hash_sql} = {cut}L") & quoted(self.key).isin(list(keys)))
+        return out
+
+
+@dataclass(frozen=True)
+class SplitRule:
+    """What a split was fitted to: it places any row by itself, and can be stored as text."""
+
+    key: str
+    target: str
+    seed: int
+    edges: tuple[float, ...]
+    rest_edges: tuple[float, ...]
+    test: HeldOut
+    val: HeldOut
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``bin`` (of the target) and ``split``."""
+        binned = _binned(_binned(df, self.target, list(self.edges), "bin"), self.target, list(self.rest_edges), "rest_bin")
+        test, val = (held.column(row_hash(self.key, self.seed, label)) for held, label in ((self.test, "test"), (self.val, "val")))
+        return binned.withColumn("split", F.when(test, "test").when(val, "val").otherwise("train")).drop("rest_bin")
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> SplitRule:
+        found = json.loads(text)
+        held = {name: HeldOut(h["key"], h["stratum"], tuple(h["cuts"]), tuple((s, c, tuple(k)) for s, c, k in h["stay"]))
+                for name, h in ((n, found[n]) for n in ("test", "val"))}
+        return cls(found["key"], found["target"], found["seed"], tuple(found["edges"]), tuple(found["rest_edges"]), **held)
+
+
+def _held_out(df: DataFrame, key: str, stratum: str, mark: str, size: int, task_rows: int) -> HeldOut:
+    """In each stratum the rows with the smallest hashes (column ``mark``), so many of them that ``size`` are held out."""
     counts = {r[stratum]: r["count"] for r in df.groupBy(stratum).count().collect()}
     strata = sorted(counts)
     if min(counts.values()) < 2:
@@ -66,23 +107,15 @@ def _held_out(
         for s, q in quotas.items() if q
     ], task_rows=task_rows)
 
-    # One threshold per stratum, looked up by the stratum; -1 holds nothing out.
     reach = {s: found[str(s)][q] for s, q in quotas.items() if q}
-    cuts = [str(reach[s].value) + "L" if s in reach else "-1L" for s in range(max(strata) + 1)]
-    stay = {}
+    stay = []
     for s, at in reach.items():
         extra = at.reach - quotas[s]
         if extra:
             # Several rows have the hash of the threshold: those with the greatest keys stay.
-            stay[s, at.value] = _greatest_keys(df, key, F.expr(f"{stratum} = {s} AND {mark} = {at.value}L"), extra)
-
-    def held(hash_sql: str) -> Column:
-        out = F.expr(f"{hash_sql} <= get(array({', '.join(cuts)}), {stratum})")
-        for (s, cut), keys in stay.items():
-            out = out & ~(F.expr(f"{stratum} = {s} AND {hash_sql} = {cut}L") & quoted(key).isin(keys))
-        return out
-
-    return held
+            stay.append((s, at.value, tuple(_greatest_keys(df, key, F.expr(f"{stratum} = {s} AND {mark} = {at.value}L"), extra))))
+    cuts = tuple(reach[s].value if s in reach else -1 for s in range(max(strata) + 1))
+    return HeldOut(key, stratum, cuts, tuple(stay))
 
 
 def _hash_range(rank: int, size: int) -> tuple[int, int]:
@@ -109,14 +142,19 @@ def _check_key(df: DataFrame, key: str, what: str) -> None:
         raise ValueError(f"{what} key {key!r} is not unique")
 
 
-def stratified_split(
-    df: DataFrame, key: str = "id", target: str = S.TARGET, test_size: float = 0.2,
-    validation_size: float = 0.1, seed: int = 42, task_rows: int = TASK_ROWS,
-) -> DataFrame:
+def stratified_split(df: DataFrame, key: str = "id", target: str = S.TARGET, **options) -> DataFrame:
     """``df`` with ``bin`` (of the target) and ``split``: exact sizes, stratified by target quantiles.
 
     ``key`` must identify a row; membership follows from a hash of it.
     """
+    return fit_split(df, key, target, **options).apply(df)
+
+
+def fit_split(
+    df: DataFrame, key: str = "id", target: str = S.TARGET, test_size: float = 0.2,
+    validation_size: float = 0.1, seed: int = 42, task_rows: int = TASK_ROWS,
+) -> SplitRule:
+    """The bins and thresholds that split ``df`` into parts of exact sizes."""
     marks = {label: row_hash(key, seed, label) for label in ("test", "val")}
     narrow = df.selectExpr(
         name_sql(key), name_sql(target), *[f"{m} AS __{label}" for label, m in marks.items()]).persist()
@@ -130,7 +168,7 @@ def stratified_split(
         binned = _binned(narrow, target, edges, "bin")
         test = _held_out(binned, key, "bin", "__test", n_test, task_rows)
 
-        rest = binned.where(~test("__test")).drop("bin")
+        rest = binned.where(~test.column("__test")).drop("bin")
         rest_edges, first = _edges(rest, target, 10)
         if first["about"] < 10 * 200:
             few = rest.agg(F.count_distinct(quoted(target))).first()[0] // 20
@@ -139,9 +177,7 @@ def stratified_split(
         val = _held_out(_binned(rest, target, rest_edges, "rest_bin"), key, "rest_bin", "__val", n_val, task_rows)
     finally:
         narrow.unpersist()
-    binned = _binned(_binned(df, target, edges, "bin"), target, rest_edges, "rest_bin")
-    split = F.when(test(marks["test"]), "test").when(val(marks["val"]), "val").otherwise("train")
-    return binned.withColumn("split", split).drop("rest_bin")
+    return SplitRule(key, target, seed, tuple(edges), tuple(rest_edges), test, val)
 
 
 def _binned(df: DataFrame, target: str, edges: list[float], output: str) -> DataFrame:

@@ -150,6 +150,47 @@ def test_training_from_raw_file_to_scores(spark, tmp_path):
     assert info["train_samples"] == 280 and info["n_features"] == 11 and math.isfinite(info["price_std_val"])
 
 
+def test_a_second_run_leaves_the_first_one_as_it_was(spark, tmp_path):
+    raw_csv(tmp_path / "one.csv")
+    lines = (tmp_path / "one.csv").read_text().splitlines()
+    other = [lines[0]] + [",".join([c[0], str(float(c[1]) * (1 + k * 7919 % 13)), *c[2:4], str(int(c[4]) * 9 + 777), *c[5:]])
+                          for k, c in enumerate(x.split(",") for x in lines[1:-2])]
+    (tmp_path / "two.csv").write_text("\n".join(other) + "\n")
+    out = str(tmp_path / "out")
+    linear = {"linear_regression": {"algorithm": "LinearRegression", "hyperparameters": {}}}
+    forest = {"random_forest": {"algorithm": "RandomForestRegressor", "hyperparameters": {"n_estimators": 2, "max_depth": 2, "random_state": 1}}}
+    houses = requests(spark, *[{**EXAMPLE, "sqft_living": 600 + 300 * k} for k in range(5)])
+
+    def prices(**which):
+        return [r["prediction"] for r in house.load_scorer(spark, out, **which).predictions(houses).select("prediction").collect()]
+    first = house.run_training(spark, str(tmp_path / "one.csv"), out, config=linear, run_id="one")
+    before = prices()
+    second = house.run_training(spark, str(tmp_path / "two.csv"), out, config=forest, run_id="two")
+    assert first.best.metrics["val"]["r2"] > second.best.metrics["val"]["r2"]
+    assert prices() == before == prices(run_id="one") and prices(run_id="two") != before
+    bundles = {run: state.load_bundle(spark, out, run_id=run) for run in ("one", "two")}
+    assert bundles["one"].fit != bundles["two"].fit and bundles["two"].name == "random_forest"
+    assert bundles["one"].features == S.FEATURES and bundles["one"].metrics_test["r2"] > 0.999
+    ready = files.scan_splits(spark, f"{out}/splits").select("id", "split")  # the second run's
+    again = bundles["two"].rule.apply(spark.read.parquet(f"{out}/clean.parquet")).select("id", "split")
+    assert again.exceptAll(ready).isEmpty() and ready.exceptAll(again).isEmpty()
+    tags = {r["run_name"]: r["tags"] for r in spark.read.parquet(f"{out}/runs").collect()}
+    assert tags["train_linear_regression"]["performance_ok"] == "True" and tags["test_linear_regression"]["verdict"] == "good"
+    assert "r2" in tags["train_random_forest"]["warnings"] and tags["test_random_forest"]["run_id"] == "two"
+    assert state.model_health(spark, out).first()["status"] == "healthy"
+    with pytest.raises(FileNotFoundError):
+        state.load_bundle(spark, out, run_id="three")
+
+
+def test_models_saved_without_a_fit_are_no_bundle(spark, tmp_path):
+    out = str(tmp_path)
+    old = "name string, kind string, path string, features array<string>, r2_val double, saved_at timestamp"
+    spark.createDataFrame([("a", "LinearRegressionModel", "x", ["f"], 0.5, None)], old).write.parquet(f"{out}/models")
+    with pytest.raises(FileNotFoundError, match="no bundle"):
+        state.load_bundle(spark, out)
+    assert state.model_health(spark, out).first()["status"] == "unhealthy"
+
+
 def test_best_saved_model_is_loaded_by_score(spark, tmp_path):
     raw_csv(tmp_path / "raw.csv", 200)
     out = str(tmp_path / "out")
