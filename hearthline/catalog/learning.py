@@ -291,6 +291,32 @@ _register_exact("fit_forest_one_tree", "RandomForestRegressor", {
 _register_exact("fit_gbt_one_round", "GradientBoostingRegressor", {
     "n_estimators": 1, "learning_rate": 1.0, "max_depth": 5, "random_state": 42})
 
+@query("fit_gbt_early_stopping", over_houses("""SELECT view, count(*) AS n, round(avg(50000 + 90000 * view), 2) AS y_pred, 1 AS rounds
+  FROM hi GROUP BY view""", *FIT_CTES[:3]))
+def fit_gbt_early_stopping(spark, folder):
+    """Patience from a configuration: a price that the first tree explains whole keeps one round of twelve."""
+    entry = {"algorithm": "GradientBoostingRegressor", "early_stopping": {"enabled": True, "patience": 3, "min_delta": 0.001},
+             "hyperparameters": {"n_estimators": 12, "learning_rate": 0.5, "max_depth": 5, "random_state": 42}}
+    rows = imputed_houses(spark, folder).withColumn("price", F.expr("50000D + 90000D * view"))
+    model = models.fit_model(rows, models.build_models_from_config({"boost": entry})["boost"], ["view"], rows)
+    return models.predict(rows, model, ["view"]).groupBy("view").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("y_pred"), 2).alias("y_pred"), F.lit(model.getNumTrees).alias("rounds"))
+
+
+_BAG = "CAST('0x' || substr(md5('42-bag-' || t || '-' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) / CAST(1152921504606846976 AS DOUBLE)"
+
+
+@query("forest_oob", over_houses(f"""SELECT count(*) FILTER (seen < 4) AS n_scored, count(*) FILTER (seen = 4) AS n_in_every_bag, TRUE AS explains
+  FROM (SELECT id, sum(CASE WHEN {_BAG} >= exp(-1) THEN 1 ELSE 0 END) AS seen FROM h, (SELECT unnest(range(4)) AS t) GROUP BY id)"""))
+def forest_oob(spark, folder):
+    """The out-of-bag score of a forest on all houses: rows that some tree has not seen, by bags that SQL can repeat."""
+    rows = learnable(imputed_houses(spark, folder))
+    forest = models.fit_bagged_forest(rows, {"n_estimators": 4, "max_depth": 6, "max_features": None, "random_state": 42})
+    score = forest.oob_r2(rows)
+    return forest.scored(rows).agg(F.count("oob_pred").alias("n_scored"), F.count_if(F.col("oob_pred").isNull()).alias("n_in_every_bag"),
+                                   F.lit(score > R2_FLOOR).alias("explains"))
+
+
 _CONFIG = models.MODEL_CONFIG | {"disabled": {"algorithm": "LinearRegression", "enabled": False},
                                  "unknown": {"algorithm": "Perceptron"}}
 

@@ -13,15 +13,17 @@ from typing import Any
 import numpy as np
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions.columns import quoted
 from hearthline.functions.sqltext import literal_sql, name_sql
 from hearthline.operators.metrics import CRITERIA, OVERFIT_GAP, regression_metrics
-from hearthline.operators.split import kfold_assign, kfold_column
+from hearthline.operators.split import HASH_SPAN, kfold_assign, kfold_column, row_hash
 
 log = logging.getLogger(__name__)
 
@@ -42,6 +44,7 @@ MODEL_CONFIG: dict[str, dict[str, Any]] = {
         "algorithm": "GradientBoostingRegressor", "enabled": True,
         "hyperparameters": {"n_estimators": 50, "max_depth": 4, "learning_rate": 0.05, "subsample": 0.8,
                             "max_features": "sqrt", "random_state": 42, "loss": "squared_error"},
+        "early_stopping": {"enabled": True, "patience": 10, "min_delta": 0.001},
     },
 }
 GRIDS: dict[str, dict[str, list]] = {
@@ -86,6 +89,30 @@ def build_estimator(algorithm: str, hyperparameters: dict[str, Any], target: str
     return GBTRegressor(**params, **columns)
 
 
+@dataclass(frozen=True)
+class EarlyStopping:
+    """Boosting ends when the validation R2 has not risen by more than ``min_delta`` for ``patience`` rounds."""
+
+    patience: int = 10
+    min_delta: float = 0.001
+
+    def rounds(self, scores: list[float]) -> int:
+        """How many rounds are kept of those with these validation scores: up to the last that rose enough."""
+        kept, best = 1, scores[0]
+        for k, score in enumerate(scores[1:], 2):
+            if score > best + self.min_delta:
+                kept, best = k, score
+            elif k - kept >= self.patience:
+                break
+        return kept
+
+
+class EarlyStoppedGBT(GBTRegressor):
+    """A boosting estimator that knows when to stop; ``fit_model`` with validation rows heeds it."""
+
+    stopping: EarlyStopping
+
+
 def build_models_from_config(
     config: dict[str, dict] = MODEL_CONFIG, target: str = S.TARGET
 ) -> dict[str, Estimator]:
@@ -98,6 +125,15 @@ def build_models_from_config(
             log.warning("unsupported algorithm: %s", entry["algorithm"])
             continue
         out[name] = build_estimator(entry["algorithm"], entry.get("hyperparameters", {}), target)
+        rule = dict(entry.get("early_stopping", {}))
+        if rule.pop("enabled", False) and isinstance(out[name], GBTRegressor):
+            out[name] = with_stopping(out[name], EarlyStopping(**{k: v for k, v in rule.items() if k in ("patience", "min_delta")}))
+    return out
+
+
+def with_stopping(estimator: GBTRegressor, rule: EarlyStopping) -> EarlyStoppedGBT:
+    out = EarlyStoppedGBT(**{p.name: v for p, v in estimator.extractParamMap().items() if estimator.isSet(p)})
+    out.stopping = rule
     return out
 
 
@@ -106,12 +142,51 @@ def with_early_stopping(estimator: GBTRegressor, min_delta: float = 0.001) -> GB
     return estimator.copy().setParams(validationIndicatorCol=VALIDATION, validationTol=min_delta)
 
 
+def staged_errors(model: GBTRegressionModel, ready: DataFrame, target: str = S.TARGET) -> list[float]:
+    """The mean squared error after each round, over rows with assembled features: one scan of them.
+
+    A row gives the running sums of its trees' predictions; the squares are averaged by round with partial sums.
+    """
+    scored = ready.select(F.col(target).cast("double").alias("__y"), VECTOR)
+    names = [f"__t{i}" for i in range(len(model.treeWeights))]
+    for name, tree in zip(names, model.trees):
+        scored = tree.transform(scored, {tree.featuresCol: VECTOR, tree.predictionCol: name})
+    parts = ", ".join(f"{n} * {literal_sql(float(w))}" for n, w in zip(names, model.treeWeights))
+    errors = scored.selectExpr(f"""posexplode(aggregate(array({parts}), named_struct('sum', 0D, 'errors', CAST(array() AS ARRAY<DOUBLE>)),
+        (a, x) -> named_struct('sum', a.sum + x, 'errors', array_append(a.errors, power(__y - a.sum - x, 2))), a -> a.errors)) AS (round, error)""")
+    return [r["mse"] for r in errors.groupBy("round").agg(F.avg("error").alias("mse")).orderBy("round").collect()]  # a row a round
+
+
+def boosting_prefix(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of the first rounds, which is what a fit of so many rounds would give."""
+    spark = SparkSession.getActiveSession()
+    tree = spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    gateway, java = spark.sparkContext._gateway, model._java_obj
+    trees, weights = gateway.new_array(tree, rounds), gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
+    made = spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights)
+    made.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+    return GBTRegressionModel(made)
+
+
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol=VECTOR).transform(df)
 
 
-def fit_model(df: DataFrame, estimator: Estimator, features: list[str] = S.FEATURES) -> Model:
-    return estimator.fit(assemble(df, features))
+def fit_model(
+    df: DataFrame, estimator: Estimator, features: list[str] = S.FEATURES, validation: DataFrame | None = None,
+) -> Model:
+    """With validation rows, an estimator that knows when to stop keeps only the rounds that its rule allows."""
+    model = estimator.fit(assemble(df, features))
+    if validation is None or not isinstance(estimator, EarlyStoppedGBT):
+        return model
+    target = estimator.getLabelCol()
+    spread = validation.agg(F.var_pop(quoted(target))).first()[0]
+    if not spread:  # no rows, or one value: nothing to judge by
+        return model
+    errors = staged_errors(model, assemble(validation, features), target)
+    return boosting_prefix(model, estimator.stopping.rounds([1 - e / spread for e in errors]))
 
 
 @dataclass(frozen=True)
@@ -198,6 +273,81 @@ def cross_validate(
         ready.unpersist()
 
 
+def cross_validate_rounds(
+    ready: DataFrame, estimator: GBTRegressor, rounds: list[int], target: str, k: int, fold: str = "fold",
+) -> dict[int, dict[int, float]]:
+    """``cross_validate`` for several numbers of rounds by one fit a fold, of the largest: a shorter fit is its prefix."""
+    out: dict[int, dict[int, float]] = {r: {} for r in rounds}
+    longest = estimator.copy({estimator.maxIter: max(rounds)})
+    for i in range(k):
+        errors = staged_errors(longest.fit(ready.where(F.col(fold) != i)), ready.where(F.col(fold) == i), target)
+        for r in rounds:
+            out[r][i] = math.sqrt(errors[min(r, len(errors)) - 1])
+    return out
+
+
+# -- out-of-bag score ------------------------------------------------------------
+
+@dataclass(frozen=True)
+class BaggedForest:
+    """Trees fitted to bags that follow from a hash of the key, so any row knows which trees have not seen it."""
+
+    trees: list[DecisionTreeRegressionModel]
+    features: list[str]
+    key: str
+    seed: int
+
+    def weight(self, tree: int) -> str:
+        return bag_weight(self.key, self.seed, tree)
+
+    def scored(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``y_pred``, the mean of all trees, and ``oob_pred``, that of the trees whose bag the row is not in."""
+        out = assemble(df, self.features)
+        names = [f"__t{i}" for i in range(len(self.trees))]
+        for name, tree in zip(names, self.trees):
+            out = tree.transform(out, {tree.featuresCol: VECTOR, tree.predictionCol: name})
+        unseen = ", ".join(f"IF({self.weight(i)} = 0, {n}, CAST(NULL AS DOUBLE))" for i, n in enumerate(names))
+        mean = "aggregate({0}, 0D, (a, x) -> a + x) / size({0})"
+        return (out.withColumn("__all", F.expr(f"array({', '.join(names)})")).withColumn("__unseen", F.expr(f"array_compact(array({unseen}))"))
+                .withColumn("y_pred", F.expr(mean.format("__all")))
+                .withColumn("oob_pred", F.expr(f"CASE WHEN size(__unseen) > 0 THEN {mean.format('__unseen')} END"))
+                .drop(VECTOR, "__all", "__unseen", *names))
+
+    def oob_r2(self, df: DataFrame, target: str = S.TARGET) -> float | None:
+        """R2 of the rows that some tree has not seen, in one scan; null where their target has one value."""
+        y, p = F.col(target), F.col("oob_pred")
+        row = self.scored(df).where(p.isNotNull()).agg(F.avg((y - p) ** 2).alias("mse"), F.var_pop(y).alias("spread")).first()
+        return 1 - row["mse"] / row["spread"] if row["spread"] else None
+
+
+_POISSON = list(itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(8)))
+
+
+def bag_weight(key: str, seed: int, tree: int) -> str:
+    """How often a row is in a tree's bag, as SQL: a Poisson variate of mean 1 from a hash of the key."""
+    share = f"{row_hash(key, seed, f'bag-{tree}')} / {HASH_SPAN}D"
+    return "CASE " + " ".join(f"WHEN {share} < {literal_sql(p)} THEN {k}" for k, p in enumerate(_POISSON)) + f" ELSE {len(_POISSON)} END"
+
+
+def fit_bagged_forest(
+    df: DataFrame, hyperparameters: dict[str, Any], features: list[str] = S.FEATURES, target: str = S.TARGET,
+    key: str = "id", parallelism: int = 4,
+) -> BaggedForest:
+    """A forest whose bags are weights by row: one weighted fit a tree, several at a time, over rows that are kept once."""
+    settings = {k: v for k, v in hyperparameters.items() if k not in ("n_estimators", "bootstrap", "random_state")}
+    n, seed = hyperparameters.get("n_estimators", 100), hyperparameters.get("random_state", 0)
+    ready = assemble(df.select(key, target, *[c for c in features if c != key]), features).persist()
+
+    def one(i: int) -> DecisionTreeRegressionModel:
+        tree = build_estimator("RandomForestRegressor", {**settings, "n_estimators": 1, "bootstrap": False, "random_state": seed + i}, target)
+        return tree.setWeightCol("__bag").fit(ready.withColumn("__bag", F.expr(f"CAST({bag_weight(key, seed, i)} AS DOUBLE)")).where("__bag > 0")).trees[0]
+    try:
+        with ThreadPool(parallelism) as pool:
+            return BaggedForest(pool.map(one, range(n)), list(features), key, seed)
+    finally:
+        ready.unpersist()
+
+
 # -- training ------------------------------------------------------------------
 
 @dataclass
@@ -260,9 +410,11 @@ def _trained(
 ) -> Trained:
     train = ready.where(F.col("split") == "train")
     start = time.monotonic()
-    model = fit_model(train, estimator, features)
+    model = fit_model(train, estimator, features, ready.where(F.col("split") == "val"))
     seconds = time.monotonic() - start
     metrics = evaluate(ready.where(F.col("split").isin("train", "val")), model, features, target)
+    if isinstance(estimator, EarlyStoppedGBT):  # folds are fitted with the rounds that were kept
+        estimator = estimator.copy({estimator.maxIter: model.getNumTrees})
     cv = cross_validate(train, estimator, features, target, key, k) if k else {}
     params = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
     return Trained(name, model, list(features), metrics, cv, seconds, params)
@@ -325,31 +477,61 @@ def grid_points(grid: dict[str, list]) -> list[dict[str, Any]]:
     return [dict(zip(names, values)) for values in itertools.product(*grid.values())]
 
 
+RESULTS = "ident string, rmse array<double>"
+
+
+def _ident(estimator: Estimator) -> str:
+    return str(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items()))
+
+
 def grid_search(
     df: DataFrame, algorithm: str, grid: dict[str, list] | None = None, base: dict[str, Any] | None = None,
     features: list[str] = S.FEATURES, target: str = S.TARGET, key: str = "id", k: int = 5,
-    parallelism: int = 1, partitions: int | None = None,
+    parallelism: int = 1, partitions: int | None = None, results: str | None = None,
 ) -> DataFrame:
     """Mean CV RMSE of every point of a grid, best first. Points Spark cannot tell apart are fitted once.
 
     Without a grid the published one of the algorithm is searched (``GRIDS``). Folds and features are kept
     once for all points, in ``partitions`` if given (sampling of rows follows them); ``parallelism``
-    points are fitted at a time.
+    fits run at a time. Boosting points that differ only in rounds share one fit, of the most rounds. With a
+    ``results`` folder finished points are written there, and a search that is run again goes on from them;
+    it belongs to one table, target and k.
     """
-    folded = kfold_assign(df, key, k).select(key, target, "fold", *features)
-    folded = (folded if partitions is None else folded.repartition(partitions, key)).persist()
     points = grid_points(GRIDS[algorithm] if grid is None else grid)
     estimators = [build_estimator(algorithm, {**(base or {}), **p}, target) for p in points]
-    idents = [tuple(sorted((p.name, str(v)) for p, v in e.extractParamMap().items())) for e in estimators]
+    idents = [_ident(e) for e in estimators]
+    spark = df.sparkSession
+    found: dict[str, list[float]] = {}
+    if results is not None:
+        spark.createDataFrame([], RESULTS).write.mode("append").parquet(results)  # so that there is a table
+        found = {r["ident"]: list(r["rmse"]) for r in spark.read.schema(RESULTS).parquet(results).collect()}
+    work: dict[str, dict[str, Estimator]] = {}  # what shares a fit
+    for ident, e in zip(idents, estimators):
+        if ident not in found:
+            work.setdefault(_ident(e.copy({e.maxIter: 1})) if isinstance(e, GBTRegressor) else ident, {})[ident] = e
+
+    folded = kfold_assign(df, key, k).select(key, target, "fold", *features)
+    folded = (folded if partitions is None else folded.repartition(partitions, key)).persist()
+
+    def measure(group: dict[str, Estimator]) -> dict[str, list[float]]:
+        first = next(iter(group.values()))
+        if len(group) == 1:
+            out = {next(iter(group)): cross_validate(folded, first, features, target, key, k)}
+        else:
+            rounds = {ident: e.getMaxIter() for ident, e in group.items()}
+            by = cross_validate_rounds(assemble(folded, features), first, sorted(set(rounds.values())), target, k)
+            out = {ident: by[r] for ident, r in rounds.items()}
+        lists = {ident: [float(x) for x in rmse.values()] for ident, rmse in out.items()}
+        if results is not None:
+            spark.createDataFrame(list(lists.items()), RESULTS).coalesce(1).write.mode("append").parquet(results)
+        return lists
     try:
         with ThreadPool(parallelism) as pool:
-            different = dict(zip(idents, estimators))
-            found = dict(zip(different, pool.map(
-                lambda e: list(cross_validate(folded, e, features, target, key, k).values()), different.values())))
+            for part in pool.imap_unordered(measure, work.values()):
+                found |= part
     finally:
         folded.unpersist()
     rows = [({a: str(b) for a, b in point.items()}, float(np.mean(found[i])), float(np.std(found[i])))
             for point, i in zip(points, idents)]
-    table = df.sparkSession.createDataFrame(
-        rows, "params map<string,string>, cv_rmse_mean double, cv_rmse_std double")
+    table = spark.createDataFrame(rows, "params map<string,string>, cv_rmse_mean double, cv_rmse_std double")
     return table.orderBy("cv_rmse_mean")

@@ -1,5 +1,6 @@
 """Scoring, audit, sources, state, streams and the whole training flow."""
 
+import datetime
 import json
 import math
 
@@ -185,7 +186,7 @@ def test_a_second_run_leaves_the_first_one_as_it_was(spark, tmp_path):
 def test_models_saved_without_a_fit_are_no_bundle(spark, tmp_path):
     out = str(tmp_path)
     old = "name string, kind string, path string, features array<string>, r2_val double, saved_at timestamp"
-    spark.createDataFrame([("a", "LinearRegressionModel", "x", ["f"], 0.5, None)], old).write.parquet(f"{out}/models")
+    spark.createDataFrame([("a", "LinearRegressionModel", f"{out}/x", ["f"], 0.5, datetime.datetime(2024, 1, 1))], old).write.parquet(f"{out}/models")
     with pytest.raises(FileNotFoundError, match="no bundle"):
         state.load_bundle(spark, out)
     assert state.model_health(spark, out).first()["status"] == "unhealthy"

@@ -141,3 +141,83 @@ def test_grid_search_finds_the_better_point(spark):
     df, _, _ = learnable(spark, 200)
     out = models.grid_search(df, "GradientBoostingRegressor", {"n_estimators": [1, 8]}, {"max_depth": 2, "learning_rate": 0.5, "random_state": 1}, k=2)
     assert out.first()["params"] == {"n_estimators": "8"}
+
+
+BOOST = {"n_estimators": 6, "max_depth": 2, "learning_rate": 0.4, "subsample": 0.8, "random_state": 42}
+
+
+def test_staged_errors_and_prefix_equal_shorter_fits(spark):
+    df, _, _ = learnable(spark, 200, noise=5000.0)
+    train, rest = df.where("id % 4 > 0").coalesce(1).persist(), df.where("id % 4 = 0")
+    model = models.fit_model(train, models.build_estimator("GradientBoostingRegressor", BOOST))
+    errors = models.staged_errors(model, models.assemble(rest, S.FEATURES))
+    assert len(errors) == 6
+    for rounds in (1, 4, 6):
+        shorter = models.fit_model(train, models.build_estimator("GradientBoostingRegressor", {**BOOST, "n_estimators": rounds}))
+        want = {r["id"]: r["y_pred"] for r in models.predict(rest, shorter).collect()}
+        prefix = models.predict(rest, models.boosting_prefix(model, rounds)).collect()
+        assert {r["id"]: r["y_pred"] for r in prefix} == pytest.approx(want, rel=1e-12)
+        assert errors[rounds - 1] == pytest.approx(np.mean([(r["price"] - r["y_pred"]) ** 2 for r in prefix]), rel=1e-9)
+
+
+def test_patience():
+    rule = models.EarlyStopping(patience=2, min_delta=0.01)
+    assert rule.rounds([0.1]) == 1
+    assert rule.rounds([0.1, 0.2, 0.3]) == 3
+    assert rule.rounds([0.1, 0.2, 0.205, 0.209, 0.9]) == 2  # stopped before the last
+    assert rule.rounds([0.1, 0.2, 0.205, 0.25, 0.24, 0.23]) == 4
+    assert rule.rounds([0.5, 0.4, 0.3]) == 1
+
+
+def test_stopping_comes_from_the_configuration(spark, tmp_path):
+    built = models.build_models_from_config()["gradient_boosting"]
+    assert (built.stopping.patience, built.stopping.min_delta, built.getMaxIter()) == (10, 0.001, 50)
+    entry = {"algorithm": "GradientBoostingRegressor", "hyperparameters": {**BOOST, "learning_rate": 1.0, "subsample": 1.0, "n_estimators": 5},
+             "early_stopping": {"enabled": True, "monitor": "validation_score", "patience": 2, "min_delta": 0.2}}
+    df = learnable(spark, 200)[0].coalesce(1).persist()
+    ready = df.withColumn("split", F.expr("IF(id % 4 = 0, 'val', 'train')"))
+    found = models.train_all(ready, models.build_models_from_config({"boost": entry}), k=0)["boost"]
+    assert 1 <= found.model.getNumTrees < 5 and found.params["maxIter"] == str(found.model.getNumTrees)
+    found.model.write().save(str(tmp_path / "model"))
+    again = type(found.model).load(str(tmp_path / "model"))
+    rows = df.limit(20)
+    assert [r["y_pred"] for r in models.predict(rows, again).orderBy("id").collect()] == [r["y_pred"] for r in models.predict(rows, found.model).orderBy("id").collect()]
+
+
+def test_grid_points_of_other_rounds_share_a_fit_and_a_search_goes_on(spark, tmp_path, monkeypatch):
+    df = learnable(spark, 100, noise=3000.0)[0].coalesce(1).persist()
+    grid, base = {"n_estimators": [1, 3], "learning_rate": [0.2, 0.5]}, {**BOOST, "subsample": 1.0, "max_depth": 1}
+    alone = {tuple(p.values()): models.cross_validate(df, models.build_estimator("GradientBoostingRegressor", {**base, **p}), k=2)
+             for p in models.grid_points(grid)}
+    shared = []
+    plain = models.cross_validate_rounds
+    monkeypatch.setattr(models, "cross_validate_rounds", lambda *a, **k: shared.append(a[2]) or plain(*a, **k))
+    out = str(tmp_path / "results")
+    search = lambda g: {(int(r["params"]["n_estimators"]), float(r["params"]["learning_rate"])): r["cv_rmse_mean"]
+                        for r in models.grid_search(df, "GradientBoostingRegressor", g, base, k=2, results=out).collect()}
+    assert search(grid) == pytest.approx({p: np.mean(list(c.values())) for p, c in alone.items()}, rel=1e-9)
+    assert shared == [[1, 3], [1, 3]]
+    more = search({**grid, "learning_rate": [0.2, 0.5, 0.7]})
+    assert shared == [[1, 3]] * 3 and len(more) == 6  # only what was not yet finished
+
+
+def test_out_of_bag_equals_brute_force(spark):
+    df, _, y = learnable(spark, 90, noise=3000.0)
+    forest = models.fit_bagged_forest(df, {"n_estimators": 5, "max_depth": 4, "max_features": None, "random_state": 7})
+    bags = df.selectExpr("id", *[f"{forest.weight(i)} AS w{i}" for i in range(5)]).orderBy("id").collect()
+    weights = np.array([[r[f"w{i}"] for i in range(5)] for r in bags])
+    assert 0.25 < (weights == 0).mean() < 0.5 and weights.max() > 1
+    vectors = models.assemble(df, S.FEATURES).orderBy("id").collect()
+    each = np.array([[t.predict(r[models.VECTOR]) for t in forest.trees] for r in vectors])
+    got = forest.scored(df).orderBy("id").collect()
+    some = [k for k in range(90) if (weights[k] == 0).any()]
+    want = np.array([each[k][weights[k] == 0].mean() for k in some])
+    assert [k for k in range(90) if got[k]["oob_pred"] is not None] == some
+    assert [got[k]["oob_pred"] for k in some] == pytest.approx(list(want)) and [r["y_pred"] for r in got] == pytest.approx(list(each.mean(1)))
+    assert forest.oob_r2(df) == pytest.approx(1 - np.mean((y[some] - want) ** 2) / np.var(y[some]))
+    # a tree is what a weighted fit of its bag gives: repeating rows as often as they are in the bag
+    repeated = df.withColumn("w", F.expr(forest.weight(2))).selectExpr("*", "explode(sequence(1, w)) AS copy").where("w > 0")
+    alone = models.fit_model(repeated.coalesce(1), models.build_estimator("RandomForestRegressor", {
+        "n_estimators": 1, "bootstrap": False, "max_depth": 1, "max_features": None, "random_state": 9}))
+    stump = models.fit_bagged_forest(df.coalesce(1), {"n_estimators": 3, "max_depth": 1, "max_features": None, "random_state": 7}).trees[2]
+    assert sorted({round(stump.predict(r[models.VECTOR]), 3) for r in vectors}) == sorted({round(alone.predict(r[models.VECTOR]), 3) for r in vectors})
