@@ -107,6 +107,15 @@ def residual_table(spark, folder):
     return metrics.residual_table(predictions(spark, folder))
 
 
+@query("residual_grid", over_houses("""SELECT model, split, x, y_cell, count(*) AS n FROM (SELECT p.model, p.split,
+  CAST(least(floor(coalesce((y_pred - xl) / nullif(xh - xl, 0), 0) * 20), 19) AS INTEGER) AS x,
+  CAST(least(floor(coalesce((y - y_pred - yl) / nullif(yh - yl, 0), 0) * 20), 19) AS INTEGER) AS y_cell
+  FROM p JOIN (SELECT model, split, min(y_pred) AS xl, max(y_pred) AS xh, min(y - y_pred) AS yl, max(y - y_pred) AS yh FROM p GROUP BY ALL) e
+  ON p.model = e.model AND p.split = e.split) GROUP BY ALL""", PRED))
+def residual_grid(spark, folder):
+    return metrics.residual_grid(predictions(spark, folder))
+
+
 @query("residual_diagonal", over_houses(
     "SELECT model, split, min(y) AS y_min, max(y) AS y_max FROM p GROUP BY model, split", PRED))
 def residual_diagonal(spark, folder):

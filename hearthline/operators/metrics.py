@@ -126,6 +126,21 @@ def residual_table(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("residual", F.col("y") - F.col("y_pred"))
 
 
+def residual_grid(predictions: DataFrame, bins: int = 20) -> DataFrame:
+    """The chart of residuals against predictions in bounded size: per model and split the rows of each of bins x bins
+    equal cells from least to greatest value. Cells without rows, and rows without a residual, are left out."""
+    rows = residual_table(predictions).where("residual IS NOT NULL")
+    ends = rows.groupBy("model", "split").agg(*[f(c).alias(f"{n}_{c}") for c in ("y_pred", "residual") for n, f in (("low", F.min), ("high", F.max))])
+
+    def cell(c: str) -> Column:
+        low, high = F.col(f"low_{c}"), F.col(f"high_{c}")
+        at = F.floor((F.col(c) - low) / F.nullif(high - low, F.lit(0.0)) * bins)
+        return F.least(F.coalesce(at, F.lit(0)), F.lit(bins - 1)).cast("int")  # one value only: the first cell
+    # one row of ends for each model and split
+    placed = rows.join(F.broadcast(ends), ["model", "split"]).withColumns({"x": cell("y_pred"), "y_cell": cell("residual")})
+    return placed.groupBy("model", "split", "x", "y_cell").agg(F.count(F.lit(1)).alias("n"))
+
+
 def diagonal(predictions: DataFrame) -> DataFrame:
     """Ends of the y = x line per model and split."""
     return predictions.groupBy("model", "split").agg(F.min("y").alias("y_min"), F.max("y").alias("y_max"))

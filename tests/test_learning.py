@@ -221,3 +221,9 @@ def test_out_of_bag_equals_brute_force(spark):
         "n_estimators": 1, "bootstrap": False, "max_depth": 1, "max_features": None, "random_state": 9}))
     stump = models.fit_bagged_forest(df.coalesce(1), {"n_estimators": 3, "max_depth": 1, "max_features": None, "random_state": 7}).trees[2]
     assert sorted({round(stump.predict(r[models.VECTOR]), 3) for r in vectors}) == sorted({round(alone.predict(r[models.VECTOR]), 3) for r in vectors})
+
+
+def test_residual_grid(spark):
+    rows = [("m", "val", 10.0, 0.0), ("m", "val", 10.0, 10.0), ("m", "val", 6.0, 5.0), ("m", "val", None, 5.0), ("one", "val", 1.0, 1.0)]
+    got = {tuple(r) for r in metrics.residual_grid(predictions(spark, rows), bins=4).collect()}
+    assert got == {("m", "val", 0, 3, 1), ("m", "val", 3, 0, 1), ("m", "val", 2, 0, 1), ("one", "val", 0, 0, 1)}
