@@ -463,3 +463,16 @@ def stream_score(spark, folder):
         requests, scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",), duration_ms=F.expr("(id % 40) / 3"))
     flows.write_stream(scored, out, checkpoint).awaitTermination()
     return spark.read.schema(scored.schema).parquet(out)
+
+
+@query("stream_score_once", over_houses(_RESPONSE, *FIT_CTES, SCORED))
+def stream_score_once(spark, folder):
+    """The batch scores once more, from a stream in which every request is sent twice."""
+    out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-state")
+    scorer = fixed_scorer(preprocess.fit_preprocessing(houses(spark, folder)))
+    sent = houses_of(_stream_of(spark, folder, "orders"))
+    scored = flows.stream_score(
+        flows.once(sent.union(sent), "id", "date", "100 years"), scorer, F.expr(_ROW_ID), F.col("date"), keep=("id",),
+        duration_ms=F.expr("(id % 40) / 3"))
+    flows.write_stream(scored, out, checkpoint).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out)

@@ -249,3 +249,74 @@ def test_stream_counts_over_batches_and_late_lines(spark, tmp_path):
     assert run()["2024-01-01 15:00:00"] == 1
     arrive(3, "2024-01-01 10:01:00")  # its window closed when 15:00 was seen
     assert run()["2024-01-01 10:00:00"] == 3
+
+
+def _arrive(spark, source, rows, columns):
+    spark.createDataFrame(rows, columns).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+
+
+def test_counts_of_a_renewed_checkpoint(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    columns = "ts string, line string"
+
+    def run(checkpoint):
+        schema = "ts timestamp, line string"
+        stream = flows.read_stream(spark, source, spark.createDataFrame([], schema).schema, max_files=1)
+        flows.write_counts(flows.stream_audit_counts(stream), out, str(tmp_path / checkpoint)).awaitTermination()
+        return {str(r["window_start"]): r["n"] for r in flows.read_counts(spark, out).collect()}
+
+    for _ in range(3):  # the first run counts in three batches
+        _arrive(spark, source, [("2024-01-01 10:05:00", '{"event_type":"prediction"}')], columns)
+    assert run("first") == {"2024-01-01 10:00:00": 3}
+    _arrive(spark, source, [("2024-01-01 10:06:00", '{"event_type":"prediction"}')], columns)
+    # the later run reads more in fewer batches; its lower batch numbers must not lose
+    spark.read.parquet(source).coalesce(1).write.parquet(source + "2")
+    source = source + "2"
+    assert run("second") == {"2024-01-01 10:00:00": 4}
+    assert run("second") == {"2024-01-01 10:00:00": 4}
+
+
+def test_folders_of_counts_stay_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows, "FOLD", 3)
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    columns = "ts string, line string"
+    for i in range(11):
+        _arrive(spark, source, [(f"2024-01-01 {10 + i % 2}:05:00", '{"event_type":"error"}')], columns)
+    stream = flows.read_stream(spark, source, spark.createDataFrame([], "ts timestamp, line string").schema, max_files=1)
+    flows.write_counts(flows.stream_audit_counts(stream, delay="9 hours"), out, checkpoint).awaitTermination()
+    assert {r["window_start"].hour: r["n"] for r in flows.read_counts(spark, out).collect()} == {10: 6, 11: 5}
+    folders = [f for level in (tmp_path / "out").iterdir() for f in level.iterdir() if f.is_dir()]
+    assert len(folders) <= 6  # at most two of each of three levels
+    # a folder left beside its fold by a crash changes nothing
+    rows = spark.read.option("recursiveFileLookup", True).parquet(out)
+    rows.write.parquet(f"{out}/level=0/000001-000000000000")
+    assert {r["window_start"].hour: r["n"] for r in flows.read_counts(spark, out).collect()} == {10: 6, 11: 5}
+
+
+def test_requests_sent_again_are_scored_and_logged_once(spark, tmp_path):
+    source = str(tmp_path / "in")
+    row = requests(spark, EXAMPLE).first().asDict()
+    columns = requests(spark, EXAMPLE).withColumns({c: F.lit(None).cast("string") for c in ("key", "ts")}).schema
+
+    def send(*sent):
+        _arrive(spark, source, [(*row.values(), key, ts) for key, ts in sent], columns)
+
+    send(("a", "2024-01-01 10:00:00"), ("b", "2024-01-01 10:01:00"), ("a", "2024-01-01 10:00:00"))
+    send(("a", "2024-01-01 10:00:30"), (None, "2024-01-01 10:02:00"), (None, "2024-01-01 10:02:00"), (None, None))
+    send(("c", "2024-01-01 13:00:00"))
+    send(("d", "2024-01-01 13:01:00"))
+    send(("late", "2024-01-01 10:30:00"))  # behind the watermark of an earlier batch
+    stream = flows.once(flows.read_stream(spark, source, spark.read.parquet(source).schema, max_files=1), "key", "ts")
+    scored = flows.write_stream(flows.stream_score(stream, SCORER, keep=("key",)), str(tmp_path / "out"), str(tmp_path / "cp"))
+    scored.awaitTermination()
+    assert sorted(str(r["key"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["None", "a", "b", "c", "d"]
+    assert flows.late(scored) == 1
+    flows.stream_audit_lines(stream, SCORER, str(tmp_path / "log"), str(tmp_path / "cp2")).awaitTermination()
+    assert tuple(audit.audit_event_counts(files.scan_audit_log(spark, str(tmp_path / "log"))).first()) == (5, 0, 0)
+
+
+def test_event_type_takes_whole_objects_only(spark):
+    lines = ['{"event_type":"a"}, "end of line"]', '{"event_type":"a"} {}', '[{"event_type":"a"}]', '5', '', None, '{"event_type":"a"',
+             '{"event_type":"a","event_type":"b"}', ' {"event_type":"b"} ', '{"event_type":"b", "end of line": 3}']
+    found = audit.event_type(spark.createDataFrame([(v,) for v in lines], "line string")).collect()
+    assert [r["event_type"] for r in found] == [None] * 7 + ["b"] * 3
