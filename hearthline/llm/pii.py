@@ -6,7 +6,8 @@ what they have matched (possessive repeats, a look at the character before), so
 proportional to its length.
 
 Spans come from marking: each match is put between two marks, the text is split at them, and the lengths
-of the parts add up to offsets in code points.
+of the parts add up to offsets in code points. Contexts come from neighbouring parts and not from the
+text, as a substring is found by walking the text from its start.
 """
 
 from __future__ import annotations
@@ -52,16 +53,39 @@ RAISE, LOWER, LEAST = 0.3, 0.3, 0.6
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
 
 
-def _matches(kind: str) -> str:
-    """SQL of the matches of a kind: an array of (start, stop, value)."""
+def _parts(kind: str) -> str:
+    """SQL of a text cut at the matches of a kind: gap, match, gap, match and so on; empty where it has none."""
     pattern = PATTERNS[kind].replace("\\", "\\\\").replace("'", "\\'")
-    empty = "cast(array() AS array<struct<start:int,stop:int,value:string>>)"
-    return f"""CASE WHEN {HINTS[kind]} THEN aggregate(
-        split(regexp_replace(translate(text, '{MARK}', '{OTHER}'), '{pattern}', '{MARK}$0{MARK}'), '{MARK}'),
-        named_struct('at', 0, 'match', false, 'found', {empty}),
-        (a, p) -> named_struct('at', a.at + char_length(p), 'match', NOT a.match, 'found', CASE WHEN a.match THEN
-            array_append(a.found, named_struct('start', a.at, 'stop', a.at + char_length(p), 'value', p)) ELSE a.found END),
-        a -> a.found) ELSE {empty} END"""
+    return (f"CASE WHEN {HINTS[kind]} THEN split(regexp_replace(translate(text, '{MARK}', '{OTHER}'), '{pattern}', "
+            f"'{MARK}$0{MARK}'), '{MARK}') ELSE cast(array() AS array<string>) END")
+
+
+def _blocks(values: str, item: str) -> str:
+    """SQL of an array (a column's name) as about sqrt(n) blocks of about sqrt(n) items, each ``item`` of its element ``v``."""
+    width = f"cast(ceil(sqrt(size({values}))) AS int)"
+    return f"""CASE WHEN size({values}) > 0 THEN transform(sequence(0, cast((size({values}) - 1) div {width} AS int)),
+        b -> transform(slice({values}, b * {width} + 1, {width}), v -> {item})) ELSE cast(array() AS array<array<int>>) END"""
+
+
+def _before(blocks: str, combine: str) -> str:
+    """SQL of what ``combine`` (of ``x`` and ``y``) makes of all items before each one, from 0, over ``_blocks``.
+
+    An array is copied when it grows by one, so a fold over all n items would take n * n steps. Blocks
+    are folded by themselves from what lies before them: n * sqrt(n) steps.
+    """
+    def fold(items: str, start: str, item: str) -> str:
+        step = combine.replace("x", "a.at").replace("y", item)
+        return (f"aggregate({items}, named_struct('at', {start}, 'out', cast(array() AS array<int>)), (a, i) -> "
+                f"named_struct('at', {step}, 'out', array_append(a.out, a.at)), a -> a.out)")
+    whole = f"aggregate(i, 0, (s, j) -> {combine.replace('x', 's').replace('y', 'j')})"
+    return f"flatten(zip_with({blocks}, {fold(blocks, '0', whole)}, (items, start) -> {fold('items', 'start', 'i')}))"
+
+
+def _matches(kind: str) -> str:
+    """SQL of the matches of a kind from its parts: an array of (start, stop, value, part), part its index from 0."""
+    part = f"get(parts_{kind}, i)"
+    return f"""filter(transform({_before(f'lengths_{kind}', 'x + y')}, (s, i) -> CASE WHEN i % 2 = 1 THEN named_struct(
+        'start', s, 'stop', s + char_length({part}), 'value', {part}, 'part', i) END), x -> x IS NOT NULL)"""
 
 
 def _luhn(digits: str) -> str:
@@ -92,11 +116,14 @@ VALID = {
 def _scored(kind: str) -> str:
     """SQL of the confirmed spans of a kind with their scores."""
     found = "card" if kind == "short_card" else kind
-    near = (f"lower(concat(substring(text, greatest(x.start - {BEFORE}, 0) + 1, least({BEFORE}, x.start)), ' ', "
-            f"substring(text, x.stop + 1, {AFTER})))")
+    # a match has two code points or more, so that many parts hold the context
+    before = f"slice(parts_{found}, greatest(x.part - {BEFORE + 1}, 0) + 1, least({BEFORE + 1}, x.part))"
+    after = f"slice(parts_{found}, x.part + 2, {AFTER + 1})"
+    near = (f"lower(concat(right(array_join(transform({before}, p -> right(p, {BEFORE})), ''), {BEFORE}), ' ', "
+            f"left(array_join(transform({after}, p -> left(p, {AFTER})), ''), {AFTER})))")
     up, down = CONTEXT[kind]
-    score = (f"greatest(0D, least(1D, {PRIOR[kind]}D + CASE WHEN {near} RLIKE '\\\\b(?:{up})' THEN {RAISE}D ELSE 0D END"
-             f" - CASE WHEN {near} RLIKE '\\\\b(?:{down})' THEN {LOWER}D ELSE 0D END))")
+    score = (f"get(transform(array({near}), w -> greatest(0D, least(1D, {PRIOR[kind]}D + CASE WHEN w RLIKE '\\\\b(?:{up})' "
+             f"THEN {RAISE}D ELSE 0D END - CASE WHEN w RLIKE '\\\\b(?:{down})' THEN {LOWER}D ELSE 0D END))), 0)")
     return (f"transform(filter(found_{found}, x -> {VALID[kind]}), x -> named_struct('kind', '{kind}', 'start', x.start, "
             f"'stop', x.stop, 'score', {score}))")
 
@@ -111,7 +138,11 @@ def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
     keep = [F.col(f"`{c}`") for c in docs.columns if c != "pii"]
     # all columns of the input go into one, so that no name of theirs meets one of these
     found = docs.select(F.struct(*keep).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    found = found.select("row", "text", *(F.expr(_matches(k)).alias(f"found_{k}") for k in PATTERNS))
+    parts = [f"parts_{k}" for k in PATTERNS]
+    found = found.select("row", *(F.expr(_parts(k)).alias(f"parts_{k}") for k in PATTERNS))
+    found = found.select("row", *parts, *(
+        F.expr(_blocks(f"parts_{k}", "char_length(v)")).alias(f"lengths_{k}") for k in PATTERNS))
+    found = found.select("row", *parts, *(F.expr(_matches(k)).alias(f"found_{k}") for k in PATTERNS))
     every = ", ".join(_scored(k) if k in BASE else f"filter({_scored(k)}, x -> x.score >= {least}D)" for k in (*BASE, *ADDED))
     return found.select("row", F.expr(f"concat({every})").alias("pii")).select("row.*", "pii")
 
@@ -128,17 +159,35 @@ def digests(docs: DataFrame) -> DataFrame:
         f"sha2({spans_sql(f'filter(pii, x -> x.kind IN ({kinds}))')}, 256) AS base_sha256", f"{spans_sql('pii')} AS spans")
 
 
+CHUNK = 1024  # code points in a piece of a text from which stretches of it are cut
+
+
+def _cut(start: str, stop: str) -> str:
+    """SQL of the code points from ``start`` to ``stop`` of a text in ``chunks``; reads no more than the chunks they lie in."""
+    first = f"cast({start} div {CHUNK} AS int)"
+    return (f"substring(array_join(slice(chunks, {first} + 1, cast(({stop} - 1) div {CHUNK} AS int) - {first} + 1), ''), "
+            f"{start} - {first} * {CHUNK} + 1, {stop} - {start})")
+
+
 def redact(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in brackets; overlapping spans by the first one's.
 
     ``n_chars``, if there, is counted again. A null text stays null.
     """
-    piece = "concat(a.out, substring(text, a.at + 1, x.start - a.at), '[', upper(x.kind), ']')"
-    clean = f"""CASE WHEN size(pii) = 0 THEN text ELSE aggregate(array_sort(transform(pii, x -> named_struct('start', x.start,
-            'stop', x.stop, 'kind', x.kind))), named_struct('at', 0, 'out', ''), (a, x) -> CASE WHEN x.start >= a.at
-            THEN named_struct('at', x.stop, 'out', {piece}) ELSE named_struct('at', greatest(a.at, x.stop), 'out', a.out) END,
-        a -> concat(a.out, substring(text, a.at + 1))) END"""
-    found = find_pii(docs, least).withColumn("text", F.expr(clean)).drop("pii")
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("pii", "text")]
+    found = find_pii(docs, least).select(F.struct(*keep, F.lit(0).alias("__any")).alias("row"), "text", F.expr(
+        "array_sort(transform(pii, x -> named_struct('start', x.start, 'stop', x.stop, 'kind', x.kind)))").alias("spans"))
+    some = "size(spans) > 0"
+    found = found.selectExpr("row", "text", "spans", f"{_blocks('spans', 'v.stop')} AS stops", f"""CASE WHEN {some}
+        THEN regexp_extract_all(text, '(?s).{{1,{CHUNK}}}', 0) ELSE cast(array() AS array<string>) END AS chunks""")
+    found = found.selectExpr("row", "text", "spans", "chunks", f"{_before('stops', 'greatest(x, y)')} AS done")
+    # each span that starts behind all earlier ones gives what lies between and its kind
+    pieces = f"""array_join(transform(spans, (x, i) -> CASE WHEN x.start >= get(done, i)
+        THEN concat({_cut('get(done, i)', 'x.start')}, '[', upper(x.kind), ']') ELSE '' END), '')"""
+    last = "array_max(transform(spans, x -> x.stop))"
+    rest = f"array_join(transform(array({last}), e -> {_cut('e', f'size(chunks) * {CHUNK}')}), '')"
+    found = found.selectExpr("row", f"CASE WHEN {some} THEN concat({pieces}, {rest}) ELSE text END AS text")
+    found = found.select("row.*", "text").drop("__any")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
