@@ -214,8 +214,9 @@ def _fit_weights(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Scorer:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
-    At most ``sample`` toxic and clean rows are read, chosen by a hash of doc_id. Without both kinds of
-    labels the fixed insults and threats decide. Rows without text or with another label do not count.
+    At most ``sample`` toxic and clean ids are taken, by a hash of doc_id, and of each id one text, the least
+    of its rows: repeated ids add nothing. Without both kinds of labels the fixed insults and threats
+    decide. Rows without text or with another label do not count.
     """
     spark = small_batches(docs.sparkSession)
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -223,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) ->
     for toxic, most in zip((1, 0), sample):
         part = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         few = part if few is None else few.union(part)
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text IS NOT NULL").select("text", "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text IS NOT NULL")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
     lexicon = _learn_lexicon(rows)
     scorer = spark.sparkContext.broadcast(Scorer(lexicon))
 
