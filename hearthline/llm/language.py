@@ -141,20 +141,21 @@ def _windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return found.astype(np.uint8), row
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Network:
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """Learn from ``docs`` (doc_id, text, lang), rows without text or lang left out.
 
     About ``sample`` texts of each language are read, by a hash of doc_id and text, and of each a few
-    windows of different lengths; only these windows come to the driver.
+    windows of different lengths; only these windows come to the driver. Rows alike in all three count
+    once among them. None where there is nothing to learn from.
     """
     small_batches(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'")
     counts = {r.lang: r["count"] for r in docs.where("lang IS NOT NULL").groupBy("lang").count().collect()}
     if not counts:
-        raise ValueError("no labelled text to learn a language from")
+        return None
     share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))))
     place = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(1 << 20)) / (1 << 20)
-    few = known.where(place < share[F.col("lang")]).select("text", "lang")
+    few = known.where(place < share[F.col("lang")]).distinct().select("text", "lang")
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
         out, lang = [], []
@@ -170,17 +171,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network:
                     lang.append(b["lang"][k].as_py())
         return pa.RecordBatch.from_pydict({"bytes": pa.array(out, pa.binary()), "lang": pa.array(lang, pa.string())})
     found = sorted((r.lang, bytes(r.bytes)) for r in map_batches(few, cut, "bytes binary, lang string").collect())
+    if not found:
+        return None
     languages = sorted(counts)
     windows = CLASS[np.frombuffer(b"".join(x for _, x in found), np.uint8).reshape(-1, WINDOW)]
     return train(windows, np.array([languages.index(x) for x, _ in found]), languages)
 
 
-def predict(docs: DataFrame, network: Network) -> DataFrame:
+def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     """(doc_id, lang_pred, score) for each row of ``docs`` (doc_id, text), score from 0 to 1.
 
     All of a text is read. A text that is null or has no letter is ``und`` with score 0. Null and repeated
-    ids are kept as they are; other columns are ignored.
+    ids are kept as they are; other columns are ignored. Without a network every text is ``und``.
     """
+    if network is None:
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = small_batches(docs.sparkSession).sparkContext.broadcast(network)
     tables: list = []
 

@@ -131,6 +131,35 @@ def test_added_pii_needs_checks_and_context(spark):
     assert pii.redact(docs.limit(0)).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    rng, parts = random.Random(5), []
+    for i in range(15_000):
+        parts.append(rng.choice([f"u{i}@h.org", f"10.0.{i % 256}.{i % 200}", "+1 (415) 555-0100", "4111-1111-1111-1111", "\U0001F600é"]))
+        parts.append(rng.choice([" ", ", ", " call or write to ", "\u0001"]))
+    text = "".join(parts)
+    spans = base_pii(text)
+    one = table(spark, [(1, text)])
+    row = pii.digests(one).first()
+    assert len(spans) > 5_000
+    assert row.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in spans).encode()).hexdigest()
+    every = [(int(a), int(z), k) for k, a, z in (x.split(":") for x in row.spans.split(","))]
+    at, want = 0, []
+    for a, z, k in sorted(every):
+        if a >= at:
+            want += [text[at:a], f"[{k.upper()}]"]
+        at = max(at, z)
+    assert pii.redact(one).first().text == "".join(want) + text[at:]
+
+
+def test_context_over_short_parts(spark):
+    rows = [(1, "ssn 123-45-6789 " + "123-45-6789 " * 4), (2, "123-45-6789 " * 2 + "ssn"), (3, "123-45-6789 " * 4 + "ssn")]
+    got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("ssn")] for r in pii.digests(table(spark, rows)).collect()}
+    for i, text in rows:
+        near = [m for m in re.finditer("[0-9]{3}-[0-9]{2}-[0-9]{4}", text)
+                if re.search(r"\bssn", text[max(0, m.start() - pii.BEFORE):m.start()] + " " + text[m.end():m.end() + pii.AFTER])]
+        assert got[i] == [f"ssn:{m.start()}:{m.end()}" for m in near]
+
+
 # -- fingerprints ------------------------------------------------------------------
 
 def test_edited_likeness(spark):
@@ -195,6 +224,14 @@ def test_language_of_odd_texts(spark):
     assert language.predict(table(spark, []), net).count() == 0
 
 
+def test_language_without_anything_to_learn(spark):
+    docs = documents(spark, SMALL)
+    for known in (docs.limit(0), docs.selectExpr("doc_id", "text", "cast(NULL AS string) AS lang"),
+                  docs.selectExpr("doc_id", "'12 34' AS text", "lang")):
+        rows = language.identify(known).collect()
+        assert len(rows) == known.count() and all((r.lang_pred, r.score) == ("und", 0.0) for r in rows)
+
+
 def test_network_tables_equal_the_filters():
     rng = np.random.default_rng(1)
     windows = rng.integers(0, language.CLASSES, (40, language.WINDOW)).astype(np.uint8)
@@ -267,6 +304,17 @@ def test_toxicity_of_odd_texts(spark):
     assert toxicity.score(odd.limit(0), scorer).count() == 0
 
 
+def test_toxicity_fit_reads_one_text_of_an_id(spark, monkeypatch):
+    docs = spark.range(20_000).selectExpr("id % 4 AS doc_id", "concat('plain words ', id % 4) AS text")
+    docs = docs.union(spark.createDataFrame([(9, "you stupid idiot")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 0), (9, 1), (9, 1)], "doc_id long, toxic int")
+    seen = []
+    weights = toxicity._fit_weights
+    monkeypatch.setattr(toxicity, "_fit_weights", lambda x, y: (seen.append(len(x)), weights(x, y))[1])
+    toxicity.fit(docs, labels)
+    assert seen == [4]
+
+
 def test_text_bytes_of_slices():
     from hearthline.llm.words import find_words, text_bytes
     column = pa.array(["zero", None, " two words ", "", "é\x0bx"]).slice(1)
