@@ -328,27 +328,33 @@ def fill_constant(spark, folder):
 
 # -- profiles --------------------------------------------------------------------
 
-_LINE = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_quantity": "double", "l_extendedprice": "double",
-         "l_returnflag": "string", "l_linenumber": "int"}
+_LINE = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+         "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+         "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+_LISTING = {"id": "bigint", "date": "timestamp_ntz", "price": "double", "bedrooms": "bigint", "bathrooms": "double",
+            "sqft_living": "double", "sqft_lot": "bigint", "floors": "double", "waterfront": "bigint", "view": "bigint",
+            "condition": "bigint", "grade": "bigint", "sqft_above": "double", "sqft_basement": "double",
+            "yr_built": "bigint", "yr_renovated": "bigint", "zipcode": "bigint", "city": "string"}
+
+
+def _profile_sql(columns: dict[str, str], table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT count(*) AS n_rows, {len(columns)} AS n_columns, {i} AS position, '{c}' AS column_name, '{t}' AS type, "
+        f"count(*) - count({c}) AS n_missing FROM {table}" for i, (c, t) in enumerate(columns.items()))
 
 
 def lineitem(spark, folder):
     return spark.read.parquet(f"{folder}/lineitem.parquet")
 
 
-@query("profile_table", over_listings(" UNION ALL ".join(
-    f"SELECT count(*) AS n_rows, 5 AS n_columns, {i} AS position, '{c}' AS column_name, '{t}' AS type, "
-    f"count(*) - count({c}) AS n_missing FROM l" for i, (c, t) in enumerate(
-        {"id": "bigint", "price": "double", "sqft_living": "double", "sqft_basement": "double", "city": "string"}.items()))))
+@query("profile_table", over_listings(_profile_sql(_LISTING, "l")))
 def profile_table(spark, folder):
-    return quality.profile_table(listings(spark, folder).select("id", "price", "sqft_living", "sqft_basement", "city"))
+    return quality.profile_table(listings(spark, folder))
 
 
-@query("profile_lineitem", " UNION ALL ".join(
-    f"SELECT count(*) AS n_rows, {len(_LINE)} AS n_columns, {i} AS position, '{c}' AS column_name, '{t}' AS type, "
-    f"count(*) - count({c}) AS n_missing FROM lineitem" for i, (c, t) in enumerate(_LINE.items())))
+@query("profile_lineitem", _profile_sql(_LINE, "lineitem"))
 def profile_lineitem(spark, folder):
-    return quality.profile_table(lineitem(spark, folder).select(*_LINE))
+    return quality.profile_table(lineitem(spark, folder))
 
 
 def _describe_sql(columns: list[str], table: str) -> str:
@@ -369,10 +375,9 @@ def describe_numeric(spark, folder):
     return rounded(quality.describe_numeric(houses(spark, folder)), _DIGITS)
 
 
-@query("describe_lineitem", _describe_sql(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "lineitem"))
+@query("describe_lineitem", _describe_sql([c for c, t in _LINE.items() if t in ("bigint", "int", "double")], "lineitem"))
 def describe_lineitem(spark, folder):
-    return rounded(quality.describe_numeric(
-        lineitem(spark, folder).select("l_quantity", "l_extendedprice", "l_discount", "l_tax")), _DIGITS)
+    return rounded(quality.describe_numeric(lineitem(spark, folder)), _DIGITS)
 
 
 @query("count_duplicates", over_houses("""SELECT count(*) AS n_rows,
@@ -408,6 +413,11 @@ def topk_categories(spark, folder):
         lineitem(spark, folder).select("l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey")), "p_brand")
 
 
+@query("heavy_hitters", "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 20")
+def heavy_hitters(spark, folder):
+    return quality.heavy_hitters(lineitem(spark, folder), "l_partkey", 20)
+
+
 @query("count_distinct", over_listings("""SELECT count(DISTINCT city) AS city, count(DISTINCT zipcode) AS zipcode,
   count(DISTINCT price) AS price FROM l"""))
 def count_distinct(spark, folder):

@@ -13,6 +13,7 @@ from hearthline import schema as S
 from hearthline.functions.columns import quoted, tidy_name
 from hearthline.functions.sqltext import name_sql, present_sql, text_sql
 from hearthline.operators.ranks import exact_quantiles
+from hearthline.session import written
 
 log = logging.getLogger(__name__)
 
@@ -230,6 +231,32 @@ def value_counts_topk(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), quoted(column)).limit(k)
 
 
+BUCKETS = 1 << 16  # counted groups of values; their table is broadcast, so its size is fixed
+
+
+def heavy_hitters(df: DataFrame, column: str, k: int = 10, tracked: int = 10_000) -> DataFrame:
+    """The rows of ``value_counts_topk``, without sending every distinct value over the network.
+
+    A summary of ``tracked`` frequent items names candidates. Their exact counts give a floor that the k-th
+    count reaches, and the exact count of each bucket of values is no less than that of any value in it.
+    So values of buckets below the floor are out; the rest is grouped. Exact on any data: where all
+    counts are alike few buckets fall below the floor, and it becomes the full grouping.
+    """
+    c = quoted(column)
+    rows = df.where(c.isNotNull()).select(c.alias(column))
+    summary = rows.agg(F.expr(f"approx_top_k({name_sql(column)}, {k}, {max(k, tracked)})")).first()[0]
+    items = [r[0] for r in summary or []]
+    bucket = F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+    item = F.when(c.isin(items), c)
+    counts = written(rows.groupBy(bucket.alias("__bucket"), item.alias("__item")).agg(F.count(F.lit(1)).alias("n")), "buckets")
+    best = [r["n"] for r in counts.where("__item IS NOT NULL").orderBy(F.desc("n")).limit(k).collect()]
+    least = F.lit(best[-1] if len(best) == k else 1)
+    hot = counts.groupBy("__bucket").agg(F.sum("n").alias("__rows")).where(F.col("__rows") >= least).select("__bucket")
+    kept = rows.withColumn("__bucket", bucket).join(F.broadcast(hot), "__bucket", "left_semi")
+    return kept.groupBy(c.alias(column)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).orderBy(
+        F.desc("n"), c).limit(k)
+
+
 def count_distinct(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
     count = F.approx_count_distinct if approximate else F.count_distinct
     return df.agg(*[count(quoted(c)).alias(c) for c in columns])

@@ -96,3 +96,14 @@ def test_valid_rows_are_filtered_at_the_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PushedFilters: [IsNotNull(" in plan and "GreaterThanOrEqual(bedrooms,0)" in plan
+
+
+def test_heavy_hitters_equal_the_full_grouping(spark, monkeypatch):
+    skewed = "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 7 = 0 THEN 'b' WHEN id % 11 = 0 THEN NULL ELSE concat('v', id % 900) END AS v"
+    flat = "concat('v', id % 5000) AS v"
+    monkeypatch.setattr(quality, "BUCKETS", 512)
+    for expr, tracked in ((skewed, 16), (skewed, 10_000), (flat, 64), ("CAST(NULL AS string) AS v", 10), ("id % 3 AS v", 10)):
+        rows = spark.range(40_000).selectExpr(expr, "id AS n", "1 AS __bucket")
+        got = quality.heavy_hitters(rows, "v", 5, tracked)
+        assert got.collect() == quality.value_counts_topk(rows, "v", 5).collect()
+    assert quality.heavy_hitters(rows.limit(0), "v").count() == 0
