@@ -4,7 +4,8 @@ Documents are aggregated by the set of sources that they belong to (their patter
 pattern's words to the sources in it until these have their targets; using a pattern's words once is
 free, twice costs one, and so on, so repetition is spread evenly before it rises. Only patterns and
 sources come to the driver. Which documents carry a pattern's flow is decided by a seeded hash: the hash
-at which their sizes add up to the flow is found by counting ever finer ranges of it.
+at which their sizes add up to the flow is found by counting ever finer ranges of it. As a long document
+may lie there, some hundred documents around that hash are then chosen by their sizes instead.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import map_batches, small_batches
@@ -22,6 +23,10 @@ from hearthline.llm.words import find_words
 from hearthline.session import written
 
 HASH_BITS, STEP_BITS = 40, 10  # of the selecting hash, and of the ranges counted at a time
+AROUND = 256  # about so many places around a cut are chosen by size
+NEAR = 1000  # a cut is near enough within this fraction of its words
+EXACT = 1 << 16  # words that are filled by an exact subset
+SMALL_PLAN = 20_000  # rows, of at most some 2 KB each: a plan that is broadcast
 
 
 def shares(sizes: dict, weights: dict, most: float) -> dict:
@@ -102,16 +107,23 @@ def _sized(docs: DataFrame) -> DataFrame:
                        "doc_id long, members array<string>, pattern string, place long, size long")
 
 
-def _thresholds(sized: DataFrame, cuts: list[tuple[str, int, int]]) -> dict[tuple[str, int], int]:
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as a table to join with; broadcast where their number is small."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= SMALL_PLAN else table
+
+
+def _thresholds(sized: DataFrame, cuts: list[tuple[str, int, int]]) -> dict[tuple[str, int], tuple[int, int]]:
     """For each cut (pattern, number, words) the hash below which the pattern's documents have about so many words.
 
     Each step counts the words in 2**STEP_BITS ranges of the range that holds the cut, and goes into the
-    one where it falls; a few rows a cut come back. At last the nearer end of the range is taken.
+    one where it falls; a few rows a cut come back. At last the nearer end of the range is taken; with it
+    comes by how many words it misses the cut.
     """
     spark = sized.sparkSession
     now = [(p, k, words, 0) for p, k, words in cuts]
     for left in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
-        table = spark.createDataFrame(now, "pattern string, cut int, words long, low long")
+        table = _table(spark, now, "pattern string, cut int, words long, low long")
         inside = sized.join(table, "pattern").where(f"shiftright(place, {left + STEP_BITS}) = low")
         bins = inside.groupBy("pattern", "cut", "words", F.expr(f"shiftright(place, {left}) AS bin")).agg(
             F.sum("size").alias("size"))
@@ -122,15 +134,73 @@ def _thresholds(sized: DataFrame, cuts: list[tuple[str, int, int]]) -> dict[tupl
         for r in before.collect():
             now.append((r.pattern, r.cut, r.words - r["at"].before, r["at"].bin))
             sizes[r.pattern, r.cut] = r["at"].size
-    return {(p, k): low + (2 * words > sizes[p, k]) for p, k, words, low in now}
+    return {(p, k): (low + (2 * words > sizes[p, k]), min(words, sizes[p, k] - words)) for p, k, words, low in now}
+
+
+def closest(sizes: Sequence[int], words: int) -> list[int]:
+    """Indexes whose sizes add up to nearly ``words``; early ones first where there is a choice.
+
+    While more than EXACT words are open, each size that fits is taken; what is left then gets the subset of
+    the others whose sum is nearest (of two the smaller): bit n of ``sums[k]`` says that the first k reach n.
+    """
+    taken, others = [], []
+    for k, size in enumerate(sizes):
+        if words > EXACT and 0 < size <= words:
+            taken.append(k)
+            words -= size
+        elif size > 0:
+            others.append(k)
+    if words > EXACT:
+        return taken
+    sums = [1]
+    for k in others:
+        sums.append((sums[-1] | sums[-1] << sizes[k] if sizes[k] <= 2 * words else sums[-1]) & ((2 << 2 * words) - 1))
+    at = (sums[-1] & ((2 << words) - 1)).bit_length() - 1
+    beyond = sums[-1] >> words
+    if beyond and (over := (beyond & -beyond).bit_length() - 1) < words - at:
+        at = words + over
+    for n in range(len(others) - 1, -1, -1):
+        if not sums[n] >> at & 1:
+            taken.append(others[n])
+            at -= sizes[others[n]]
+    return sorted(taken)
+
+
+def _closed(sized: DataFrame, cuts: list[tuple[str, int, int, int]]) -> dict[str, tuple[int, list[int]]]:
+    """For each cut (pattern, words, hash, places of the pattern) a lower hash, and the places beyond it that complete it.
+
+    Of each pattern the words below that lower hash and those of about AROUND places from there on come back.
+    """
+    rows = []
+    for pattern, _, low, places in cuts:
+        reach = -(-(AROUND << HASH_BITS) // (2 * max(places, 1)))
+        rows.append((pattern, max(0, low - reach), low + reach))
+    table = _table(sized.sparkSession, rows, "pattern string, first long, stop long")
+    found = (sized.where("size > 0").join(table, "pattern").where("place < stop")
+             .groupBy("pattern", F.expr("CASE WHEN place >= first THEN place END AS at")).agg(F.sum("size").alias("size")).collect())
+    below: dict = defaultdict(int)
+    around = defaultdict(list)
+    for r in found:
+        if r["at"] is None:
+            below[r.pattern] = r["size"]
+        else:
+            around[r.pattern].append((r["at"], r["size"]))
+    out = {}
+    for (pattern, words, _, _), (_, first, _) in zip(cuts, rows):
+        near = sorted(around[pattern])
+        out[pattern] = first, [near[k][0] for k in closest([size for _, size in near], words - below[pattern])]
+    return out
 
 
 def _plan(sized: DataFrame, weights: Sequence[float] | dict | None, most: int) -> DataFrame:
     """(pattern, source_size, target, bounds): how far the uses of a pattern's documents go to each of its sources.
 
-    One row for each pattern; a bound is the turn (of the uses) and the place up to which a source reaches.
+    One row for each pattern; a bound is the turn (of the uses), the place up to which a source reaches, and the
+    places beyond it that are in it as well.
     """
-    found = sized.where("members IS NOT NULL").groupBy("pattern", "members").agg(F.sum("size").alias("size")).collect()
+    found = sized.where("members IS NOT NULL").groupBy("pattern", "members").agg(
+        F.sum("size").alias("size"), F.approx_count_distinct("place").alias("places")).collect()
+    places = {r.pattern: r.places for r in found}
     patterns = {tuple(r.members): int(r.size) for r in found}
     written_as = {tuple(r.members): r.pattern for r in found}
     sizes: dict = defaultdict(int)
@@ -152,16 +222,23 @@ def _plan(sized: DataFrame, weights: Sequence[float] | dict | None, most: int) -
         plan.append((pattern, bounds))
         cuts += [(written_as[pattern], k, words) for k, (_, words) in enumerate(bounds) if words]
     at = _thresholds(sized, cuts) if cuts else {}
+    used = {written_as[p]: flow[p, p[0]] for p in patterns if len(p) == 1}
+    wide = [(p, words, at[p, k][0], places[p]) for p, k, words in cuts if p in used and at[p, k][1] * NEAR > used[p]]
+    closed = _closed(sized, wide) if wide else {}
+
+    def bound(pattern: str, k: int, turn: int) -> tuple:
+        return (turn, *closed[pattern]) if pattern in closed else (turn, at.get((pattern, k), (0, 0))[0], [])
     rows = [(written_as[p], sum(sizes[s] for s in p), float(sum(targets[s] for s in p)),
-             [(turn, at.get((written_as[p], k), 0)) for k, (turn, _) in enumerate(bounds)]) for p, bounds in plan]
-    return sized.sparkSession.createDataFrame(
-        rows, "pattern string, source_size long, target double, bounds array<struct<turn:int,place:long>>")
+             [bound(written_as[p], k, turn) for k, (turn, _) in enumerate(bounds)]) for p, bounds in plan]
+    return _table(sized.sparkSession, rows, "pattern string, source_size long, target double, "
+                  "bounds array<struct<turn:int,place:long,more:array<long>>>")
 
 
 def _with_uses(placed: DataFrame, plan: DataFrame, most: int) -> DataFrame:
     # in its turn-th use a document belongs to the first source whose bound lies beyond it
     uses = F.expr(f"""filter(transform(sequence(0, {most - 1}), t -> size(filter(bounds,
-        b -> t > b.turn OR (t = b.turn AND place >= b.place)))), i -> i < size(bounds))""")
+        b -> t > b.turn OR (t = b.turn AND place >= b.place AND NOT array_contains(b.more, place))))),
+        i -> i < size(bounds))""")
     return placed.join(plan, "pattern", "left").withColumn("uses", F.coalesce(
         F.transform(uses, lambda i: F.get("members", i)), F.array().cast("array<string>")))
 
@@ -177,8 +254,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] | dict | None = None,
     of all documents in it). ``uses`` lists the source of each use of the document, at most ``most`` of
     them, and ``taken`` is the words it gives. source_size and target are sums over the document's sources:
     of a single one, its own. A document whose array of sources is null or empty is in no mix. Which
-    documents are used depends on doc_id, text and seed only; rows that repeat are used alike. Overlapping
-    sources may ask for more than their documents have ``most`` times over; they get what there is.
+    documents are used depends on doc_id, text and seed, and near a source's cut on sizes; rows that repeat are
+    used alike. A source comes within a thousandth of its target if the documents around its cut allow it, and
+    as near as they do otherwise; where sources overlap, within a document. Overlapping sources may ask for
+    more than their documents have ``most`` times over; they get what there is.
     """
     small_batches(docs.sparkSession)
     sized = written(_sized(_placed(docs, sources, seed)), "sizes")

@@ -144,6 +144,36 @@ def test_mix_sources(spark):
     assert mixing.mix_sources(df.limit(0), sources="source").count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_closest(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randint(0, 40) for _ in range(rng.randint(0, 11))]
+    every = [sum(s for k, s in enumerate(sizes) if mask >> k & 1) for mask in range(1 << len(sizes))]
+    for words in (0, 1, 7, 50, 111, 10_000):
+        got = mixing.closest(sizes, words)
+        assert got == sorted(set(got)) and abs(sum(sizes[k] for k in got) - words) == min(abs(e - words) for e in every)
+
+
+def test_closest_of_long_texts():
+    sizes = [300_000, 90_000, 20_000, 500_000] + [7, 11] * 40
+    got = mixing.closest(sizes, 410_100)
+    assert sum(sizes[k] for k in got) == 410_100
+    assert mixing.closest([900_000, 5], 200_000) == [1] and mixing.closest([], 200_000) == []
+
+
+def test_targets_beside_long_documents(spark):
+    rng = random.Random(8)
+    rows = [(k, "w " * (rng.choice([900, 4000, 9000]) if k % 9 == 0 else rng.randint(1, 40)), "abc"[k % 3]) for k in range(240)]
+    rows += [(1000, "w " * 50, "c")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix_sources(df, sources="source").collect():
+        taken[r.members[0]] += r.taken
+        target[r.members[0]] = r.target
+        assert r.taken == r.size * len(r.uses) <= 3 * r.size
+    assert len(target) == 3 and all(abs(taken[s] - t) <= max(1, t / 1000) for s, t in target.items())
+
+
 def test_overlapping_sources(spark):
     rng = random.Random(6)
     rows = [(k, " ".join(["w"] * rng.randint(1, 9)), rng.choice([["a"], ["b"], ["a", "b"], ["b", "a", "b"], [], None])) for k in range(1200)]
