@@ -140,7 +140,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     spark, docs = docs.sparkSession, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ends = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [1.0], 100 * ranges)).first()[0]
-    ends = ", ".join(f"{x}L" for x in sorted(set(ends or [0]))[1:]) if ranges > 1 else ""
+    ends = ", ".join(f"{x}L" for x in sorted(set(ends or []))) if ranges > 1 else ""
     # part 0 has the largest ids
     after = f"size(filter(array({ends}), x -> x > doc_id))" if ends else "0"
     parted = docs.withColumn("part", F.expr(f"CASE WHEN doc_id IS NULL THEN {ranges} ELSE {after} END"))
@@ -149,7 +149,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     extra = parted.join(F.broadcast(table), F.col("doc_id").eqNullSafe(F.col("top"))).selectExpr(
         "before AS part", "true AS extra", "doc_id", "text")
     rows = parted.selectExpr("part", "false AS extra", "doc_id", "text").union(extra)
-    return (rows.repartition(ranges, "part")
+    return (rows.repartitionById(ranges, F.col("part").cast("int"))  # a range is a partition
             .sortWithinPartitions("part", "extra", F.desc_nulls_last("doc_id"), F.desc_nulls_last("text")))
 
 
