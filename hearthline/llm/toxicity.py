@@ -27,6 +27,7 @@ SAMPLE = (6000, 12000)  # labelled rows that a fit reads at most: toxic, clean
 STEM, LONGEST = 3, 9  # letters of a stem
 EVIDENCE = 15.0  # nats by which a part's documents must be toxic more often than others
 FOUND = 3000  # stems and words that a fit considers at most, most telling first
+HELD_PARTS = 100_000  # stems counted before a task hands them on
 
 # Function words of English, French, German and Spanish, and insults known without labels.
 TARGETS = "you your yours he she they him her them tu te toi vous il elle ils elles du dich dir ihr euch er sie usted ustedes vosotros él ella ellos".split()
@@ -165,14 +166,21 @@ def _parts(text: str | None) -> set[str]:
 def _learn_lexicon(rows: DataFrame) -> Lexicon:
     """Stems and words that tell toxic rows (text, toxic) from clean ones: from document frequencies, counted on the cluster."""
 
+    def counted(n: dict[str, int]) -> pa.RecordBatch:
+        both = np.fromiter(n.values(), np.int64, len(n))
+        return pa.RecordBatch.from_pydict({"part": pa.array(list(n), pa.string()), "clean": both & 0xFFFFFFFF, "toxic": both >> 32})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: dict[str, list[int]] = {}
+        n: dict[str, int] = {}  # clean ones, and toxic ones from bit 32 on
         for b in batches:
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
+                one = 1 << 32 if toxic else 1
                 for part in _parts(text):
-                    n.setdefault(part, [0, 0])[toxic] += 1
-        yield pa.RecordBatch.from_pydict({"part": pa.array(list(n), pa.string()), "clean": pa.array([x[0] for x in n.values()], pa.int64()),
-                                          "toxic": pa.array([x[1] for x in n.values()], pa.int64())})
+                    n[part] = n.get(part, 0) + one
+                if len(n) >= HELD_PARTS:
+                    yield counted(n)
+                    n = {}
+        yield counted(n)
     totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
