@@ -315,6 +315,20 @@ def test_requests_sent_again_are_scored_and_logged_once(spark, tmp_path):
     assert tuple(audit.audit_event_counts(files.scan_audit_log(spark, str(tmp_path / "log"))).first()) == (5, 0, 0)
 
 
+def test_requests_with_times_without_a_zone_are_passed_on_once(spark, tmp_path):
+    source, columns = str(tmp_path / "in"), "key string, ts timestamp_ntz"
+    noon = datetime.datetime(2024, 1, 1, 12)
+    for sent in ([("a", noon), ("a", noon), ("b", noon)], [("a", noon), ("c", None), (None, noon), (None, noon)],
+                 [("d", noon + datetime.timedelta(hours=3))], [("e", noon + datetime.timedelta(hours=3))], [("late", noon)]):
+        spark.createDataFrame(sent, columns).coalesce(1).write.mode("append").parquet(source)
+    stream = flows.once(flows.read_stream(spark, source, spark.read.parquet(source).schema, max_files=1), "key", "ts")
+    assert dict(stream.dtypes) == {"key": "string", "ts": "timestamp_ntz"}
+    query = flows.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    got = {(r["key"], r["ts"].hour) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("a", 12), ("b", 12), (None, 12), ("d", 15), ("e", 15)} and flows.late(query) == 1
+
+
 def test_event_type_takes_whole_objects_only(spark):
     lines = ['{"event_type":"a"}, "end of line"]', '{"event_type":"a"} {}', '[{"event_type":"a"}]', '5', '', None, '{"event_type":"a"',
              '{"event_type":"a","event_type":"b"}', ' {"event_type":"b"} ', '{"event_type":"b", "end of line": 3}']
