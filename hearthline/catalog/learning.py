@@ -244,11 +244,12 @@ def versioned_bundle(spark, folder):
     own_split = True
     for run, data in (("first", learnable(rows)), ("second", learnable(rows).where("id % 2 = 0").withColumn("price", F.expr("2 * price + 1000D")))):
         found = house.prepared(data)
-        ready = found.ready if run == "first" else found.ready.withColumn("price", F.col("price") + bias)
+        ready = (found.ready if run == "first" else found.ready.withColumn("price", F.col("price") + bias)).persist()
         chosen = house.train_and_select(ready, linear, k=0)
         state.save_model(spark, chosen.best, out, chosen.test, fit=found.fit, rule=found.rule, run_id=run)
         again = state.load_bundle(spark, out, run_id=run).rule.apply(data).select("id", "split")
-        own_split &= again.exceptAll(found.ready.select("id", "split")).isEmpty()
+        own_split &= again.exceptAll(ready.select("id", "split")).isEmpty()
+        ready.unpersist()
     served, second = house.load_scorer(spark, out), house.load_scorer(spark, out, run_id="second")
     both = second.predictions(served.predictions(rows, "served"), "second")
     return both.select("id", F.round("served", 1).alias("served"), F.round("second", 1).alias("second"), F.lit(own_split).alias("own_split"))

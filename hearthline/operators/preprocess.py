@@ -50,7 +50,7 @@ def fit_preprocessing(df: DataFrame, features: list[str] = S.FEATURES, where: Co
 
     Mean and variance after imputation follow from those of the present values and
     the number of missing ones, so the scaler needs no scan of its own. ``where``
-    restricts the fit, for example to the training split.
+    restricts the fit, for example to the training split. The features are kept for the few scans of the fit.
     """
     rows = df if where is None else df.where(where)
     rows = fill_constant(select_features(rows, features, target=""))
@@ -60,7 +60,13 @@ def fit_preprocessing(df: DataFrame, features: list[str] = S.FEATURES, where: Co
     for i, c in enumerate(columns):
         v = present_sql(c, types[c])
         extra += [f"avg({v}) AS mean_{i}", f"var_pop({v}) AS var_{i}"]
-    medians, stats = exact_quantiles(rows, columns, [0.5], extra)
+    kept = rows.storageLevel.useMemory  # by the caller
+    rows = rows if kept else rows.persist()
+    try:
+        medians, stats = exact_quantiles(rows, columns, [0.5], extra)
+    finally:
+        if not kept:
+            rows.unpersist()
     empty = [c for c in columns if medians[c][0] is None]
     if empty:
         raise ValueError(f"nothing to fit in: {empty}")

@@ -12,7 +12,7 @@ from hearthline import schema as S
 from hearthline.operators.metrics import (
     GENERAL_GAP, WATCH_GAP, comparison, criteria_table, performance_gate, quality_verdict, rank_models,
 )
-from hearthline.operators.models import Trained, best_of, build_models_from_config, evaluate, train_all
+from hearthline.operators.models import Trained, best_of, build_models_from_config, evaluate, train_all, training_input
 from hearthline.operators.preprocess import Preprocessing, fit_preprocessing, preprocess_transform
 from hearthline.operators.quality import clean
 from hearthline.operators.scoring import Scorer
@@ -92,11 +92,15 @@ def train_and_select(
     key: str = "id", k: int = 5, partitions: int | None = None,
 ) -> Selection:
     estimators = build_models_from_config(target=target) if config is None else build_models_from_config(config, target)
-    results = train_all(ready, estimators, features, target, key, k, partitions)
-    best = best_of(results)
-    if best is None:
-        raise ValueError("no model was trained")
-    test = evaluate(ready.where(F.col("split") == "test"), best.model, features, target)["test"]
+    kept = training_input(ready, key, target, features, partitions)
+    try:
+        results = train_all(kept, estimators, features, target, key, k)
+        best = best_of(results)
+        if best is None:
+            raise ValueError("no model was trained")
+        test = evaluate(kept.where(F.col("split") == "test"), best.model, features, target)["test"]
+    finally:
+        kept.unpersist()
     return Selection(results, best, test)
 
 

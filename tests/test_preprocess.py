@@ -41,6 +41,16 @@ def test_fit_equals_numpy(spark):
         assert (f.median, f.mean, f.std_pop) == pytest.approx(want[f.feature][:3], rel=1e-9, abs=1e-12)
 
 
+def test_features_are_kept_during_the_fit_only(spark, monkeypatch):
+    df, plain, seen = table(spark), preprocess.exact_quantiles, []
+    monkeypatch.setattr(preprocess, "exact_quantiles", lambda rows, *a: seen.append((rows, rows.storageLevel.useMemory)) or plain(rows, *a))
+    fit = preprocess.fit_preprocessing(df)
+    assert [kept for _, kept in seen] == [True] and not seen[0][0].storageLevel.useMemory
+    mine = seen[0][0].persist()  # what the caller keeps stays
+    assert preprocess.fit_preprocessing(mine) == fit and mine.storageLevel.useMemory
+    mine.unpersist()
+
+
 def test_scaled_training_rows_have_mean_zero_and_std_one(spark):
     out, _ = preprocess.preprocess_fit_transform(table(spark))
     assert out.columns == [*S.FEATURES, "price"]
