@@ -1,9 +1,10 @@
 """Documents linked by the Jaccard similarity of their word shingles, and the components of the links.
 
 Prefix filtering: order all shingles, rarest first. Two sets of similarity t share a shingle among the
-first ``n - ceil(t n) + 1`` of each. A count-min sketch tells which shingles are rare; one that occurs
+first ``n - ceil(t n) + 1`` of each. A sketch tells which shingles are rare; one that occurs
 once cannot be shared, so most documents send nothing at all. What is shared joins documents to
-candidate components (a star for each shingle, no pairs), and only these are verified, in blocks.
+candidate components (a star for each shingle, no pairs), and only these are verified, in blocks. Shared
+shingles travel once, packed, some 18 bytes each.
 
 Verification in a block is adaptive: with a prefix longer by l - 1, linked sets share at least l of its
 shingles. Each document takes the l of least estimated cost, from how often its shingles occur in the
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import connected, in_pieces, pieces, small_batches
-from hearthline.llm.sketch import Classes, count_min
+from hearthline.llm.sketch import count_apart, count_min
 from hearthline.llm.words import find_words, hash_words, mix, runs
 from hearthline.session import discard, written
 
@@ -30,6 +31,8 @@ BITS = 28  # cells of the sketch of shingles, at most: 64 MB at the driver and i
 CELLS = 4  # for each word, as far as BITS allows
 WORD_BYTES = 6  # of a text with its space, about
 NODE_BITS = 24
+TOKENS = 1 << 20  # shared shingles that a task holds before it passes them on
+PART_TOKENS = 1 << 19  # that are brought together at a time, about
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LEVELS = 8  # longest prefix extension
 VERIFY_COST = 4.0  # of counting one shingle exactly, against reading one entry of a list
@@ -94,6 +97,77 @@ def _profiles(docs: DataFrame, shared: Broadcast, n: int, percent: int) -> DataF
     return in_pieces(docs, batch, ", ".join(f"{c} long" for c in names) + ", n_shingles long, node binary, tokens array<long>")
 
 
+def _starred(token: np.ndarray, cls: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(token, cls, star, a, b): each token and class once with its least node, and edges from the other nodes to that."""
+    order = np.lexsort((node, cls, token))
+    token, cls, node = token[order], cls[order], node[order]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+    star = node[new]
+    return token[new], cls[new], star, node[~new], star[np.cumsum(new) - 1][~new]
+
+
+def _stars(sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the sets (node, class, tokens) that share a token and are of one class or of neighbouring ones.
+
+    A task stars the sets of a token and class that it holds and passes on the least of them, so that a token of very many
+    sets comes to the task that brings it together once for each ``TOKENS`` of a task. Its own edges go to any task.
+    """
+    parts = max(1, -(-(sets.agg(F.sum(F.size("tokens"))).first()[0] or 0) // PART_TOKENS))
+    fields = {"token": np.uint64, "cls": np.uint16, "star": np.int64, "a": np.int64, "b": np.int64}
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def out() -> pa.RecordBatch:
+            token, cls, star, a, b = _starred(*(np.concatenate(c) for c in zip(*held)))
+            held.clear()
+            part = (token % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            at = np.searchsorted(part[order], np.arange(parts + 1))
+            even = np.arange(parts + 1) * len(a) // parts
+            found = {"token": (token[order], at), "cls": (cls[order], at), "star": (star[order], at), "a": (a, even), "b": (b, even)}
+            some = np.flatnonzero((np.diff(at) > 0) | (np.diff(even) > 0))
+            return pa.RecordBatch.from_pydict({"part": pa.array(some, pa.int32())} | {
+                k: pa.array([v[cuts[p]:cuts[p + 1]].astype(fields[k]).tobytes() for p in some], pa.binary()) for k, (v, cuts) in found.items()})
+        for b in batches:
+            size = np.asarray(b["tokens"].value_lengths())
+            held.append((np.asarray(b["tokens"].flatten()).view(np.uint64), np.repeat(np.asarray(b["class"]), size),
+                         np.repeat(np.asarray(b["node"]), size)))
+            n += int(size.sum())
+            if n >= TOKENS:
+                yield out()
+                n = 0
+        if n:
+            yield out()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+
+        def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        def out() -> pa.RecordBatch:
+            token, cls, node = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            *_, a, b = _starred(np.tile(token, 2), np.concatenate([cls, cls + np.uint16(1)]), np.tile(node, 2))
+            return edges(a, b)
+        for batch in batches:
+            for row in batch.to_pylist():
+                if now is not None and row["part"] != now:
+                    yield out()
+                now = row["part"]
+                *mine, a, b = (np.frombuffer(row[k], kind) for k, kind in fields.items())
+                held.append(mine)
+                if len(a):
+                    yield edges(a, b)
+        if held:
+            yield out()
+    packed = sets.select("node", "class", "tokens").where(F.size("tokens") > 0).mapInArrow(
+        sent, "part int, token binary, cls binary, star binary, a binary, b binary")
+    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(met, "a long, b long")
+
+
 def _node_hash(column) -> np.ndarray:
     return mix(np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2)[:, 0].astype(np.uint64))
 
@@ -234,8 +308,8 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     context = docs.sparkSession.sparkContext
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(BITS, max(18, (CELLS * size // WORD_BYTES).bit_length()))
-    classes = context.broadcast(count_min(docs.select("text"), lambda b: np.concatenate(
-        [shingles(p["text"], n)[1] for p in pieces(b)]), bits=bits))
+    classes = context.broadcast(count_apart(docs.select("text"), lambda b: np.concatenate(
+        [shingles(p["text"], n)[1] for p in pieces(b)]), size // WORD_BYTES, bits=bits))
     rows = written(_profiles(docs, classes, n, percent), "shingle-sets")
     classes.destroy()
     sets = rows.where("n_shingles > 0").groupBy("node").agg(
@@ -244,12 +318,7 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     sets = written(sets.withColumnRenamed("node", "set").withColumn("node", F.monotonically_increasing_id()), "sets")
     # linked sets are of the same size class or of neighbouring ones
     sets = sets.withColumn("class", F.expr(f"cast(floor(ln(n_shingles) / -ln({percent} / 100D) + 1e-9) AS int)"))
-    tokens = sets.select("node", "class", F.explode("tokens").alias("token")).withColumn(
-        "class", F.expr("explode(array(class, class + 1))"))
-    stars = (tokens.groupBy("token", "class").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1")
-             .drop("n"))
-    edges = tokens.join(stars, ["token", "class"]).where("node <> star").selectExpr("node AS a", "star AS b")
-    candidates = written(connected(edges).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
+    candidates = written(connected(_stars(sets)).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
     wanted = context.broadcast(count_min(candidates.select("set"), lambda b: _node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
     items = _tiles(candidates).join(_sets(docs, wanted, n), "set").drop("set")
     linked = connected(_verified(items, percent), forests=True)

@@ -118,6 +118,45 @@ def test_sketch_never_counts_too_low(spark):
         assert classes.of(hash_words(find_words(pa.array([text]))))[0] >= least
 
 
+def test_hashes_that_occur_once_do_not_fill_the_sketch(spark):
+    import pyarrow as pa
+    from hearthline.llm.words import find_words, hash_words
+    repeated = {"w7": 20, "w8": 2, "w9": 1200}
+    rows = [(i, f"once{i}") for i in range(400_000)] + [(i, w) for w, n in repeated.items() for i in range(n)]
+    docs, of = table(spark, rows, extra=False).select("text"), lambda b: hash_words(find_words(b["text"]))
+    classes = sketch.count_apart(docs, of, len(rows), bits=18)
+    got = dict(zip(repeated, classes.of(of({"text": pa.array(list(repeated))}))))
+    assert got == {"w7": 2, "w8": 1, "w9": 3}  # never too low
+    once = classes.of(of({"text": pa.array([f"once{i}" for i in range(20_000)])}))
+    assert np.mean(once > 0) < 0.1  # 0.8 where all of them share 2**18 cells
+
+
+@pytest.mark.parametrize("held, part", [(1 << 20, 1 << 19), (50, 20)])
+def test_stars_connect_sets_by_token_and_class(spark, monkeypatch, held, part):
+    monkeypatch.setattr(jaccard_join, "TOKENS", held)
+    monkeypatch.setattr(jaccard_join, "PART_TOKENS", part)
+    rng = random.Random(5)
+    sets = [(k + 10, rng.randrange(6), [rng.randrange(-200, 200) for _ in range(rng.randrange(4))]) for k in range(150)]
+    sets = [(k, c, sorted(set(t) | ({7} if k % 3 == 0 else set()))) for k, c, t in sets]  # one token that very many share
+    links = [(a, b) for a, c, t in sets for b, d, u in sets if a < b and abs(c - d) <= 1 and set(t) & set(u)]
+    df = spark.createDataFrame(sets, "node long, class int, tokens array<long>").repartition(3)
+    got = [(r.a, r.b) for r in jaccard_join._stars(df).collect()]
+    assert all(a != b for a, b in got)
+    assert components([k for k, *_ in sets], got) == components([k for k, *_ in sets], links)
+    assert jaccard_join._stars(df.where("node < 0")).count() == 0
+
+
+def test_jaccard_sends_shared_shingles_once_and_texts_once(spark, monkeypatch):
+    """With a sketch that all shingles fill, each token of a set still travels once, packed; and a text only to its key."""
+    plans = []
+    monkeypatch.setattr(jaccard_join, "connected", lambda e, **k: (plans.append(e._jdf.queryExecution().toString()), connected(e, **k))[1])
+    docs = table(spark, corpus()).drop("node", "row", "root", "place", "h1")
+    kept = jaccard_join.first_of_each(docs)
+    assert "token" in plans[0] and "explode" not in plans[0].lower()
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=>" not in plan  # a join on other keys than those of the grouping sends the texts again
+
+
 def test_connected(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 440)] + [(500, k) for k in range(501, 540)]
