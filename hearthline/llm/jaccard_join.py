@@ -362,12 +362,14 @@ def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     roots = sets.join(linked, "node", "left").select("set", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h1", "h2")).alias("k")
     own = ["k.doc_id", "k.h1", "k.h2"]
+    known = {"id": F.coalesce("doc_id", F.lit(0)), "nameless": F.col("doc_id").isNull()}  # equal for null ids too
+    keys = [*known, "h1", "h2"]  # of the grouping and of the join, so that texts are sent once for both
     kept = (rows.join(roots, "set").groupBy("root").agg(first).select(*own)
             .union(rows.where("n_shingles = 0 AND doc_id IS NOT NULL").select("doc_id", "h1", "h2").distinct()))
+    kept = kept.withColumns(known).select(*keys)
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *key)
     words = F.col("row.text").rlike("[^\\x20\\x09-\\x0D]")
     nameless = F.col("doc_id").isNull() & ~F.coalesce(words, F.lit(False))
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
-    single = whole.where(~nameless).groupBy("doc_id", "h1", "h2").agg(F.first("row").alias("row"))
-    found = single.alias("a").join(kept.alias("b"), same, "left_semi")
+    single = whole.where(~nameless).withColumns(known).groupBy(*keys).agg(F.first("row").alias("row"))
+    found = single.join(kept, keys, "left_semi")
     return found.select("row.*").union(whole.where(nameless).select("row.*"))
