@@ -109,7 +109,7 @@ def _forest(edges: DataFrame) -> DataFrame:
 def connected(edges: DataFrame, rounds: int = 60, forests: bool = False) -> DataFrame:
     """(node, root): for every node of the edges (a, b) the smallest node that it is connected with.
 
-    First each partition's edges become forests (unless ``forests`` tells that they are), made in as many tasks
+    First each partition's edges become forests (unless ``forests`` tells that they are, or nearly), made in as many tasks
     as the edges come in and written; only then do fewer partitions hold them, by their count, which no round
     raises. Then large and
     small stars alternate: a round links a node's larger neighbours, then its smaller ones, to the smallest

@@ -31,8 +31,8 @@ BITS = 28  # cells of the sketch of shingles, at most: 64 MB at the driver and i
 CELLS = 4  # for each word, as far as BITS allows
 WORD_BYTES = 6  # of a text with its space, about
 NODE_BITS = 24
-TOKENS = 1 << 20  # shared shingles that a task holds before it passes them on
-PART_TOKENS = 1 << 19  # that are brought together at a time, about
+TOKENS = 1 << 18  # shared shingles that a task holds before it passes them on
+PART_TOKENS = 1 << 17  # that are brought together at a time, about
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LEVELS = 8  # longest prefix extension
 VERIFY_COST = 4.0  # of counting one shingle exactly, against reading one entry of a list
@@ -144,23 +144,18 @@ def _stars(sets: DataFrame) -> DataFrame:
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
 
-        def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
         def out() -> pa.RecordBatch:
-            token, cls, node = (np.concatenate(c) for c in zip(*held))
+            token, cls, node, a, b = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            *_, a, b = _starred(np.tile(token, 2), np.concatenate([cls, cls + np.uint16(1)]), np.tile(node, 2))
-            return edges(a, b)
+            *_, c, d = _starred(np.tile(token, 2), np.concatenate([cls, cls + np.uint16(1)]), np.tile(node, 2))
+            a, b = np.unique(np.stack([np.concatenate([a, c]), np.concatenate([b, d])]), axis=1)
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
         for batch in batches:
             for row in batch.to_pylist():
                 if now is not None and row["part"] != now:
                     yield out()
                 now = row["part"]
-                *mine, a, b = (np.frombuffer(row[k], kind) for k, kind in fields.items())
-                held.append(mine)
-                if len(a):
-                    yield edges(a, b)
+                held.append([np.frombuffer(row[k], kind) for k, kind in fields.items()])
         if held:
             yield out()
     packed = sets.select("node", "class", "tokens").where(F.size("tokens") > 0).mapInArrow(
@@ -318,7 +313,7 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     sets = written(sets.withColumnRenamed("node", "set").withColumn("node", F.monotonically_increasing_id()), "sets")
     # linked sets are of the same size class or of neighbouring ones
     sets = sets.withColumn("class", F.expr(f"cast(floor(ln(n_shingles) / -ln({percent} / 100D) + 1e-9) AS int)"))
-    candidates = written(connected(_stars(sets)).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
+    candidates = written(connected(_stars(sets), forests=True).join(sets.select("node", "set", "class", "n_shingles"), "node"), "candidates")
     wanted = context.broadcast(count_min(candidates.select("set"), lambda b: _node_hash(b["set"]), bits=NODE_BITS, levels=(1, 2, 3)))
     items = _tiles(candidates).join(_sets(docs, wanted, n), "set").drop("set")
     linked = connected(_verified(items, percent), forests=True)

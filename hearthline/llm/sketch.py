@@ -24,7 +24,7 @@ FLUSH = 8 << 20  # bytes of cells held by a task before it writes a sketch
 RANGES_AT_ONCE = 128  # of a sketch, in one batch
 LEVELS = (2, 16, 1000)  # counts from which a cell is of class 1, 2, 3
 SPARE_BITS = 5  # of the space of ``count_apart``, beyond one cell a hash
-PART_BITS = 20  # hashes of one of its ranges, about
+PART_BITS = 18  # hashes of one of its ranges, about
 _SCHEMA = "range int, gaps binary, wide binary, many binary, times binary"
 
 
